@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weft.functions.keys import strip, uid
 from weft.operators import near, orphans
 from weft.operators import profile as prof
+from weft.queries.quality_sql import ORACLE  # noqa: F401
 from weft.session import table
 
 ZONE_PATTERN = r"^(?=.*\p{L})[\p{L}\p{M}\p{Nd} '().,/-]*$"
