@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions.keys import strip, uid
-from weft.llm import groups, survivors
+from weft.llm import canonical, groups, survivors
 from weft.llm.sql import ORACLE  # noqa: F401
 from weft.session import table
 
@@ -50,4 +50,24 @@ def p5_sizes(spark: SparkSession, d: str) -> DataFrame:
     return groups.group_sizes(p5_found(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_bundles, p5_found, p5_sizes)}
+PLACES = (("stg_mfr_facilities", "region", "region"), ("stg_dhis2_facilities", "regional", "region"), ("stg_dhis2_facilities", "zonal", "zone"))
+
+
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    geo, out = table(spark, d, "geo_reference"), []
+    for name, column, level in PLACES:
+        rows = table(spark, d, name).select("record_no", F.col(column).alias("value")).distinct()
+        entries = canonical.entries_of(geo.where(F.col("geo_level") == level), "geo_id", "geo_name", "short_name")
+        out.append(canonical.map_values(rows, "value", entries, out="geo_id").withColumn("field_name", F.lit(f"{name}.{column}")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _places(spark, d).select("field_name", "record_no", "geo_id")
+
+
+def p6_misses(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.misses(_places(spark, d), F.struct("field_name", "value"), "geo_id").select("value.field_name", F.col("value.value").alias("value"), "n")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses)}
