@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions.keys import strip, uid
-from weft.llm import canonical, groups, survivors
+from weft.llm import canonical, groups, sentences, survivors
 from weft.llm.sql import ORACLE  # noqa: F401
 from weft.session import table
 
@@ -70,4 +70,8 @@ def p6_misses(spark: SparkSession, d: str) -> DataFrame:
     return canonical.misses(_places(spark, d), F.struct("field_name", "value"), "geo_id").select("value.field_name", F.col("value.value").alias("value"), "n")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentence_units(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p10_found)}
