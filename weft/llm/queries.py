@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions.keys import strip, uid
-from weft.llm import canonical, groups, sentences, survivors
+from weft.llm import canonical, groups, nameparse, names, sentences, survivors
 from weft.llm.sql import ORACLE  # noqa: F401
-from weft.session import table
+from weft.session import cut, table
 
 
 def _trusted(spark: SparkSession, d: str, name: str, key: str, columns: list[str]) -> DataFrame:
@@ -74,4 +77,90 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_units(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p10_found)}
+_PARSED = "side int, key string, core string, extra string, number int, kind string, type_kind string, region int, zone int, place string"
+
+
+def _name_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Both registries' rows with their names taken apart and their places looked up."""
+    m = table(spark, d, "stg_mfr_facilities").select(
+        F.lit(0).alias("side"), strip(F.col("mfr_id")).alias("key"), F.col("facility_name").alias("name"), F.col("facility_type").alias("type"), "region", "zone", F.col("woreda").alias("place")
+    )
+    u = table(spark, d, "stg_dhis2_facilities").select(
+        F.lit(1).alias("side"), strip(F.col("dhis2_uid")).alias("key"), F.col("dhis2_name").alias("name"), F.col("facilitytype").alias("type"), F.col("regional").alias("region"), F.col("zonal").alias("zone"), F.col("wereda").alias("place")
+    )
+    geo = table(spark, d, "geo_reference")
+    if geo.count() > canonical.BROADCAST_ENTRIES:
+        raise ValueError("the list of places is too long to be sent to every task")
+    entries = {"region": [], "zone": []}
+    parent = {}
+    for r in geo.toLocalIterator():
+        if r["geo_level"] in entries:
+            entries[r["geo_level"]].append((r["geo_id"], r["geo_name"], r["short_name"], 1.0))
+            parent[r["geo_id"]] = r["parent_geo_id"] or 0
+    held = spark.sparkContext.broadcast((canonical.Dictionary(entries["region"]), canonical.Dictionary(entries["zone"]), parent))
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        regions, zones, up = held.value
+        kinds: dict = {}
+        for pdf in it:
+            place = {c: _each(pdf[c], d.look_up, 0) for c, d in (("region", regions), ("zone", zones))}
+            out = []
+            for side, name, place_, r, z in zip(pdf["side"], pdf["name"], pdf["place"], place["region"], place["zone"]):
+                core, number, kind = nameparse.parse(name)
+                at, extra = nameparse.place(place_), None
+                if side and at and core:
+                    # this registry's district often holds the facility's name instead
+                    other = nameparse.parse(place_)[0]
+                    if other and names.likeness(core, other) >= 0.55:
+                        at, extra = None, other if other != core and " " in other else None
+                elif side:
+                    at = None
+                out.append((core or None, extra, number, kind, r or up.get(z, 0), z, at))
+            cols = list(zip(*out)) if out else [[]] * 7
+            if len(kinds) > 1 << 16:
+                kinds.clear()
+            types = _each(pdf["type"], lambda t: kinds[t] if t in kinds else kinds.setdefault(t, nameparse.kind_of(t)))
+            yield pd.DataFrame(
+                {"side": pdf["side"], "key": pdf["key"], "core": cols[0], "extra": cols[1], "number": cols[2], "kind": cols[3], "type_kind": types, "region": cols[4], "zone": cols[5], "place": cols[6]}
+            )
+
+    return m.unionByName(u).where("key <> ''").distinct().mapInPandas(run, _PARSED)
+
+
+def _each(s: pd.Series, f, empty=None) -> list:
+    codes, uniq = pd.factorize(s)
+    got = [f(u) for u in uniq]
+    return [got[c] if c >= 0 else empty for c in codes]
+
+
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """(mfr_id, dhis2_uid, similarity) of every pair of keys that names one facility."""
+    rows = cut(_name_rows(spark, d), "name-rows")
+    known = F.mode(F.when(F.col("region") > 0, F.col("region")))
+    votes = rows.groupBy("side", "key").agg(
+        F.coalesce(known, F.lit(0)).alias("region"),
+        F.coalesce(F.mode(F.when(F.col("zone") > 0, F.col("zone"))), F.lit(0)).alias("zone"),
+        F.coalesce(F.mode(F.when(F.col("core").isNotNull(), F.col("number"))), F.lit(0)).alias("number"),
+        F.coalesce(F.mode("kind"), F.mode("type_kind")).alias("kind"),
+        F.mode("place").alias("place"),
+    )
+    cores = rows.select("side", "key", F.explode(F.array_compact(F.array("core", "extra"))).alias("core")).distinct()
+    v = cut(cores.join(votes, ["side", "key"]), "name-variants")
+    block = ["region", "number", "kind"]
+    lost = v.where("region = 0 or kind is null")
+    regions = F.array(*[F.lit(r["geo_id"]) for r in table(spark, d, "geo_reference").where("geo_level = 'region'").toLocalIterator()])
+    kinds = F.array(*[F.lit(k) for k in nameparse.KINDS])
+    tried = (
+        lost.withColumn("region", F.explode(F.when(F.col("region") == 0, regions).otherwise(F.array("region"))))
+        .withColumn("kind", F.explode(F.when(F.col("kind").isNull(), kinds).otherwise(F.array("kind"))))
+    )
+    pairs = names.link_names(v.where("region > 0 and kind is not null").unionByName(tried), block)
+    pairs = names.only_best_block(pairs, lost.select("side", "key").distinct(), block)
+    return pairs.select(F.col("left_key").alias("mfr_id"), F.col("right_key").alias("dhis2_uid"), "similarity")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_links(spark, d).select("mfr_id", "dhis2_uid").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p10_found)}

@@ -33,6 +33,8 @@ _ETHIOPIC = re.compile("[ሀ-፿]")
 
 def latin(s: str) -> str:
     """Lower-case Latin letters, digits and signs; Ethiopic words of kinds and directions translated, the rest romanised."""
+    if "@" in s:
+        s = s.replace("@", "a")
     if s.isascii():
         return s.lower()
     if _ETHIOPIC.search(s):
