@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions.keys import strip, uid
-from weft.llm import canonical, groups, nameparse, names, sentences, survivors
+from weft.llm import canonical, groups, mixing, nameparse, names, packing, sentences, survivors, tokens
 from weft.llm.sql import ORACLE  # noqa: F401
 from weft.session import cut, table
 
@@ -73,6 +73,34 @@ def p6_misses(spark: SparkSession, d: str) -> DataFrame:
     return canonical.misses(_places(spark, d), F.struct("field_name", "value"), "geo_id").select("value.field_name", F.col("value.value").alias("value"), "n")
 
 
+CAPACITY = 2048
+
+
+def p8_packing(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return packing.pack(tokens.token_counts(docs), CAPACITY, rows=docs.count())
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(p8_packing(spark, d), CAPACITY)
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs, target = table(spark, d, "documents"), table(spark, d, "mix_target")
+    sized = cut(mixing.measured(docs), "measured")
+    weights = mixing.calibrate(sized, target)
+    cells = spark.createDataFrame(weights, "source string, lang string, topic int, tokens bigint, weight double")
+    return mixing.draw(sized, cells, rows=docs.count()), target
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares_reached(*_mixed(spark, d))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_units(table(spark, d, "documents"))
 
@@ -111,8 +139,11 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
                 if side and at and core:
                     # this registry's district often holds the facility's name instead
                     other = nameparse.parse(place_)[0]
-                    if other and names.likeness(core, other) >= 0.55:
-                        at, extra = None, other if other != core and " " in other else None
+                    if " " in other:
+                        alike = names.likeness(core, other) >= 0.4 or not set(core.split()).isdisjoint(other.split())
+                        at, extra = None, other if alike and other != core else None
+                    elif other and names.likeness(core, other) >= 0.55:
+                        at = None
                 elif side:
                     at = None
                 out.append((core or None, extra, number, kind, r or up.get(z, 0), z, at))
@@ -163,4 +194,4 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_links(spark, d).select("mfr_id", "dhis2_uid").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p8_packing, p8_report, p9_mix, p9_shares, p10_found)}
