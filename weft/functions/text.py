@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -187,8 +188,6 @@ def preprocess(df, name: str = "facility_name", places: tuple[str, ...] = ("regi
 
 def metaphone_key(length: int = 4):
     """A vectorised function for the first letters of a consonant skeleton by sound; the built-ins have no metaphone."""
-    import pandas as pd
-
     rules = [(re.compile(a), b) for a, b in ((r"^(kn|gn|pn|wr|ae)", lambda m: m[0][1]), (r"ph", "f"), (r"[ts]h", lambda m: "0" if m[0][0] == "t" else "x"), (r"ch", "x"), (r"ck|q", "k"), (r"c(?=[iey])", "s"), (r"c", "k"), (r"x(?!$)", "ks"), (r"z", "s"), (r"dg(?=[iey])", "j"), (r"d", "t"), (r"v", "f"), (r"gh", "k"), (r"(.)\1+", r"\1"), (r"(?<=.)[aeiouhwy]", ""))]
 
     @F.pandas_udf("string")
