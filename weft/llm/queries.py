@@ -185,7 +185,7 @@ def p1_links(spark: SparkSession, d: str) -> DataFrame:
         lost.withColumn("region", F.explode(F.when(F.col("region") == 0, regions).otherwise(F.array("region"))))
         .withColumn("kind", F.explode(F.when(F.col("kind").isNull(), kinds).otherwise(F.array("kind"))))
     )
-    pairs = names.link_names(v.where("region > 0 and kind is not null").unionByName(tried), block)
+    pairs = cut(names.link_names(v.where("region > 0 and kind is not null").unionByName(tried), block), "name-pairs")
     pairs = names.only_best_block(pairs, lost.select("side", "key").distinct(), block)
     return pairs.select(F.col("left_key").alias("mfr_id"), F.col("right_key").alias("dhis2_uid"), "similarity")
 

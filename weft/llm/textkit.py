@@ -48,7 +48,7 @@ VOWELS = frozenset("aeiou")
 _KEYS = {c: (i, j) for i, row in enumerate(("qwertyuiop", "asdfghjkl", "zxcvbnm")) for j, c in enumerate(row)}
 
 
-def _beside(a: str, b: str) -> bool:
+def beside(a: str, b: str) -> bool:
     p, q = _KEYS.get(a), _KEYS.get(b)
     return p is not None and q is not None and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1
 
@@ -79,7 +79,7 @@ def damerau(a: str, b: str, most: float) -> float:
             if x == y:
                 c = last[j]
             else:
-                swap = 0.8 if (x in VOWELS and y in VOWELS) or _beside(x, y) else 1.0
+                swap = 0.8 if (x in VOWELS and y in VOWELS) or beside(x, y) else 1.0
                 c = min(last[j] + swap, last[j + 1] + gap(a, i), row[j] + gap(b, j))
                 if i and j and x == b[j - 1] and a[i - 1] == y:
                     c = min(c, before[j - 1] + 0.8)
