@@ -155,7 +155,7 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
                 {"side": pdf["side"], "key": pdf["key"], "core": cols[0], "extra": cols[1], "number": cols[2], "kind": cols[3], "type_kind": types, "region": cols[4], "zone": cols[5], "place": cols[6]}
             )
 
-    return m.unionByName(u).where("key <> ''").distinct().mapInPandas(run, _PARSED)
+    return m.unionByName(u).where("key <> ''").mapInPandas(run, _PARSED)
 
 
 def _each(s: pd.Series, f, empty=None) -> list:
