@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from math import sqrt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def exact(a: Column, b: Column) -> Column:
@@ -60,25 +64,31 @@ def _by_pair(a: pd.Series, b: pd.Series, f) -> pd.Series:
     return pd.Series(np.array([f(x, y) for x, y in pairs] or [0.0])[codes] if len(codes) else np.empty(0))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return _by_pair(a, b, jaro_winkler)
 
 
-def bigram_cosine(a: Column, b: Column) -> Column:
-    """Cosine of the counts of character bigrams inside words, words padded by a space on both sides; all native."""
+def bigrams(text: str) -> Counter:
+    """Counts of the character bigrams inside words, each word padded by a space on both sides."""
+    out: Counter = Counter()
+    for w in text.split(" "):
+        if w:
+            p = f" {w} "
+            out.update(p[i : i + 2] for i in range(len(p) - 1))
+    return out
+
+
+def _cosine(a: str, b: str) -> float:
+    x, y = bigrams(a), bigrams(b)
+    below = sqrt(sum(v * v for v in x.values())) * sqrt(sum(v * v for v in y.values()))
+    return sum(v * y[g] for g, v in x.items() if g in y) / below if below else 0.0
 
-    def counts(c: Column) -> Column:
-        words = F.filter(F.split(F.coalesce(c, F.lit("")), " "), lambda w: w != "")
-        return F.flatten(F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit(" "), w, F.lit(" ")), i, F.lit(2)))))
 
-    x, y = counts(a), counts(b)
-    count = lambda g, arr: F.size(F.filter(arr, lambda e: e == g)).cast("double")
-    total = lambda arr: F.aggregate(arr, F.lit(0.0), lambda s, v: s + v)
-    dot = total(F.transform(F.array_intersect(x, y), lambda g: count(g, x) * count(g, y)))
-    norm = lambda arr: F.sqrt(total(F.transform(F.array_distinct(arr), lambda g: count(g, arr) * count(g, arr))))
-    below = norm(x) * norm(y)
-    return F.when(below > 0, dot / below).otherwise(0.0)
+@F.pandas_udf(DoubleType())
+def bigram_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+    # as array expressions the engine would build both lists anew for every gram it counts
+    return _by_pair(a, b, _cosine)
 
 
 def sorted_tokens(c: Column) -> Column:
@@ -95,7 +105,7 @@ def common_subsequence(a: str, b: str) -> int:
     return last[-1]
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return _by_pair(a, b, lambda x, y: 200.0 * common_subsequence(x, y) / (len(x) + len(y)) if x or y else 100.0)
 

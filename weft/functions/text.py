@@ -153,7 +153,7 @@ def confidence_band(score: Column) -> Column:
 
 
 def reason_text(score: Column, band: Column) -> Column:
-    shown = F.when(score.isNull(), "N/A").otherwise(F.format_string("%.3f", score))
+    shown = F.when(score.isNull(), "N/A").otherwise(F.format_string("%.3f", F.bround(score, 3)))
     return (
         F.when(score.isNull(), "No candidate in the same region")
         .when(band == "none", F.concat(F.lit("Best score "), shown, F.lit(" is below the lowest band")))
