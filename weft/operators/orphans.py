@@ -104,7 +104,8 @@ def _survivors(refs: pd.DataFrame, parents: pd.DataFrame) -> pd.DataFrame:
                 )
             )
     if not found:
-        return pd.DataFrame({c: [] for c in ("ref_table", "month", "key", "held", "first_at", "gone_at")})
+        kinds = {"ref_table": object, "month": "int32", "key": object, "held": bool, "first_at": float, "gone_at": float}
+        return pd.DataFrame({c: pd.Series([], dtype=k) for c, k in kinds.items()})
     return pd.concat(found, ignore_index=True)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.functions.keys import strip
+from weft.session import cut
 
 NAME_BITS = 8.0  # a character of an expression
 DIGIT, UPPER, LETTER, WORD, ANY = 3.33, 4.71, 4.71, 6.0, 7.0  # a character of its class
@@ -136,13 +137,14 @@ def _medians(valid: DataFrame, bucket: int = 1 << 12) -> DataFrame:
 def profile(df: DataFrame, spec: ProfileSpec, *, common: float = 0.01) -> DataFrame:
     """One row per column and load: counts, null and violation rates, distinct values, range, median, most frequent
     valid value, and the share of rows under the induced expressions that hold at least `common` of a column's values."""
-    counts = value_counts(df, spec)
+    # read by the induction, the medians and the rates: distinct values, far fewer than rows
+    counts = cut(value_counts(df, spec), "values")
     by_name = {r.column: r for r in spec.rules}
     valid = F.lit(False)
     for name, rule in by_name.items():
         valid = F.when(F.col("column_name") == name, rule.valid(F.col("value"))).otherwise(valid)
     numeric = F.col("column_name").isin([r.column for r in spec.rules if r.kind == "number"])
-    shapes = induce(counts)
+    shapes = cut(induce(counts), "expressions")
     counts = counts.join(shapes, ["column_name", "value"], "left").withColumn("valid", F.col("value").isNotNull() & valid)
     counts = counts.withColumn("number", F.when(numeric & F.col("valid"), F.col("value").try_cast("decimal(38,0)").try_cast("bigint")))
     kept = counts.groupBy("column_name", "expression").agg(F.sum("n").alias("n")).where("expression is not null")
@@ -171,6 +173,7 @@ def profile(df: DataFrame, spec: ProfileSpec, *, common: float = 0.01) -> DataFr
 def changes(prof: DataFrame, *, rate: float = 0.1, ratio: float = 1.8, top_columns: list[str] = ()) -> DataFrame:
     """(load_no, column_name, measure) where a load differs from the one before it: rates by more than `rate`, medians
     by more than `ratio` times either way, the top share (of the named columns) by more than `rate`."""
+    prof = cut(prof, "profile")
     before = prof.select("column_name", (F.col("load_no") + 1).alias("load_no"), *[F.col(c).alias(f"{c}_0") for c in ("null_rate", "violation_rate", "median", "top_share", "nonconforming_rate")])
     both = prof.join(before, ["column_name", "load_no"])
     far = lambda c: F.abs(F.col(c) - F.col(f"{c}_0")) > rate
