@@ -76,13 +76,10 @@ def damerau(a: str, b: str, most: float) -> float:
         row = [last[0] + gap(a, i)]
         for j in range(m):
             x, y = a[i], b[j]
-            if x == y:
-                c = last[j]
-            else:
-                swap = 0.8 if (x in VOWELS and y in VOWELS) or beside(x, y) else 1.0
-                c = min(last[j] + swap, last[j + 1] + gap(a, i), row[j] + gap(b, j))
-                if i and j and x == b[j - 1] and a[i - 1] == y:
-                    c = min(c, before[j - 1] + 0.8)
+            swap = 0.0 if x == y else 0.8 if (x in VOWELS and y in VOWELS) or beside(x, y) else 1.0
+            c = min(last[j] + swap, last[j + 1] + gap(a, i), row[j] + gap(b, j))
+            if i and j and x == b[j - 1] and a[i - 1] == y:
+                c = min(c, before[j - 1] + 0.8)
             row.append(c)
         before, last = last, row
         if min(row) > most and min(before) > most:
