@@ -31,12 +31,11 @@ def local_session(cores: int | str = 8, app: str = "weft", memory: str = "8g", *
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's spark.checkpoint.dir; one of our own only where that is unset."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = os.path.join(tempfile.gettempdir(), "weft-shared")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = os.path.join(tempfile.gettempdir(), "weft-shared")  # one machine: its own folder is shared by all
     return named.rstrip("/")
 
 
