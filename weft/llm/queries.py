@@ -139,9 +139,11 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
                 if side and at and core:
                     # this registry's district often holds the facility's name instead
                     other = nameparse.parse(place_)[0]
-                    if " " in other:
+                    if other == core:
+                        at = None
+                    elif " " in other:
                         alike = names.likeness(core, other) >= 0.4 or not set(core.split()).isdisjoint(other.split())
-                        at, extra = None, other if alike and other != core else None
+                        at, extra = None, other if alike else None
                     elif other and names.likeness(core, other) >= 0.55:
                         at = None
                 elif side:
