@@ -137,7 +137,7 @@ def test_names_taken_apart():
     want = {
         "Sefe Neshoba 01 Health Center": ("sefe neshoba", 1, "health center"), "Health Center Toke Momejo.": ("toke momejo", 0, "health center"), "HC (Tezehi Town) Nikamu Shequ": ("nikamu shequ", 0, "health center"),
         "M. LELOCHA, MEDIUM CLINIC": ("m lelocha", 0, "medium clinic"), "Kogike-mami #2 Health post": ("kogike mami", 2, "health post"), "Chiyupa Teb No. 2 Health Centre": ("chiyupa teb", 2, "health center"),
-        "ቦቺኖ ቶሼ መድኃኒት መደብር": ("bochino toshe", 0, "drug store"), "Qoge Kipibo Health Center, Bipijoke": ("qoge kipibo", 0, "health center"), "Jepiha Shujo 02": ("jepiha shujo", 2, None), "": ("", 0, None),
+        "ቦቺኖ ቶሼ መድኃኒት መደብር": ("bochino toshe", 0, "drug store"), "Qoge Kipibo Health Center, Bipijoke": ("qoge kipibo", 0, "health center"), "Jepiha Shujo 02": ("jepiha shujo", 2, None), "Namuyagose no 09 Health Center": ("namuyagose", 9, "health center"), "": ("", 0, None),
     }
     assert {n: nameparse.parse(n) for n in want} == want
     assert nameparse.parse(None) == ("", 0, None) and nameparse.kind_of("Pry. Clinic") == "primary clinic" and latin("E@st") == "east"
