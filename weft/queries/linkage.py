@@ -322,7 +322,6 @@ ORACLE = {
       WHERE facility_type IS NOT NULL AND NOT EXISTS (SELECT 1 FROM facility_linkage k WHERE k.mfr_id = m.mfr_id AND dhis2_uid IS NOT NULL) GROUP BY 1""",
     "c08_subset_link": f"WITH {_BASE} {_BLOCK} WHERE lower(trim(a.facility_name)) LIKE '%health center' AND lower(trim(b.facility_name)) LIKE '%health center'",
 }
-_BIG = lambda x: f"list_transform(range(1, length({x}) - 0), lambda i: substr({x}, i::BIGINT, 2))"
 _GRAMS = "flatten(list_transform(list_filter(string_split({0}, ' '), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr(' ' || w || ' ', i::BIGINT, 2))))"
 _COS = f"""names AS MATERIALIZED (SELECT DISTINCT na, nb FROM h),
 grams AS (SELECT n, g, count(*)::DOUBLE AS c FROM (SELECT n, unnest({_GRAMS.format('n')}) AS g FROM (SELECT na AS n FROM names UNION SELECT nb FROM names)) GROUP BY ALL),
@@ -353,9 +352,7 @@ ORACLE |= {
     "c01_pipeline": f"""WITH {_SCORE}, n AS (SELECT count(*) AS total, count(DISTINCT fid_a) AS ma, count(DISTINCT fid_b) AS mb FROM s WHERE round(score, 6) >= 0.8)
       SELECT total, ma AS mfr_matched, mb AS dhis2_matched, printf('%.1f%%', 100.0 * ma / (SELECT count(DISTINCT fid) FROM a)) AS mfr_coverage, printf('%.1f%%', 100.0 * mb / (SELECT count(DISTINCT fid) FROM b)) AS dhis2_coverage FROM n""",
 }
-del ORACLE["a14_best_threshold"]
 _GEO_B = tq.sql_geo(r"regexp_replace(regional, 'reg\\.', 'region', 'gi')")
-ORACLE["a14_best_threshold"] = f"WITH {_SWEEP} SELECT * FROM full_sweep ORDER BY f1 DESC, threshold LIMIT 1"
 ORACLE["c09_batch_linkage"] = rf"""WITH m AS MATERIALIZED (SELECT DISTINCT record_no, mfr_id, {tq.sql_geo('region')} AS g, {_asc(tq.sql_clean('facility_name'))} AS na FROM stg_mfr_facilities WHERE coalesce(regexp_matches(existing_dhis2_id, '^[\s\p{{Z}}]*$'), true)),
   u AS MATERIALIZED (SELECT DISTINCT record_no AS other, dhis2_uid AS uid, {_GEO_B} AS g, {_asc(tq.sql_clean('dhis2_name'))} AS nb FROM stg_dhis2_facilities),
   p AS (SELECT m.record_no, uid, other, round({_LEV}, 6) AS score FROM m JOIN u ON m.g = u.g AND {tq.sql_phonetic('na')} = {tq.sql_phonetic('nb')} WHERE na <> '' AND nb <> ''),
