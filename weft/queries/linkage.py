@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weft.functions import similarity as sim
 from weft.functions import text as t
-from weft.operators import blocking, judge, registry, scoring
+from weft.operators import blocking, judge, nearest, registry, scoring
 from weft.queries import text as tq
 from weft.session import table
 
@@ -132,16 +132,12 @@ def a12_confusion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j10_topk_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """The five nearest names in the region and phonetic key of each facility without a reference, by sorted words."""
+    """The five nearest names in the region of each facility without a reference, by sorted words."""
     a, b = _sides(spark, d)
-    a = a.where(F.col("existing_dhis2_id").isNull() & (F.col("name") != "")).select(F.col("rid").alias("a_rid"), F.col("name").alias("name_a"), "region", "phonetic")
-    b = b.where("name <> ''").select(F.col("rid").alias("b_rid"), F.col("fid").alias("uid"), F.col("name").alias("name_b"), "region", "phonetic", F.col("zone").alias("zone_b"), F.col("woreda").alias("woreda_b"))
-
-    def score(pairs: DataFrame) -> DataFrame:
-        texts = pairs.select("name_a", "name_b").distinct().withColumn("score", F.round(sim.token_sort_ratio(F.col("name_a"), F.col("name_b")), 1))
-        return pairs.join(texts, ["name_a", "name_b"])
-
-    return registry.top_candidates(a, b, ["region", "phonetic"], score, "b_rid", "a_rid").select("a_rid", "b_rid", "uid", "name_b", "zone_b", "woreda_b", "score")
+    a = a.where(F.col("existing_dhis2_id").isNull() & (F.col("name") != "")).select(F.col("rid").alias("a_rid"), F.col("name").alias("name_a"), "region")
+    b = b.where("name <> ''").select(F.col("rid").alias("b_rid"), F.col("fid").alias("uid"), F.col("name").alias("name_b"), "region", F.col("zone").alias("zone_b"), F.col("woreda").alias("woreda_b"))
+    top = nearest.top_names(a, b, "region", "a_rid", "b_rid", "name_a", "name_b", nearest.TOKEN_SORT, words_sorted=True)
+    return top.select("a_rid", "b_rid", "uid", "name_b", "zone_b", "woreda_b", "score")
 
 
 def j20_candidate_json(spark: SparkSession, d: str) -> DataFrame:
@@ -222,20 +218,35 @@ def c06_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return g.withColumn("review", F.col("facility_type").isin("General Hospital", "Referral Hospital", "Primary Hospital"))
 
 
-def c09_batch_linkage(spark: SparkSession, d: str) -> DataFrame:
-    """For each unlinked row the nearest name under the same cleaned place, with band and reason; no row is dropped."""
+def _c09(spark: SparkSession, d: str, best_of, letters) -> DataFrame:
     m = table(spark, d, "stg_mfr_facilities").where(t.blank_to_null(F.col("existing_dhis2_id")).isNull()).distinct()
     u = table(spark, d, "stg_dhis2_facilities").distinct()
-    clean = lambda c: _ascii(t.clean_facility_name(F.col(c)))
-    a = m.select("record_no", "mfr_id", t.normalize_geo(F.col("region")).alias("region_norm"), clean("facility_name").alias("name_a")).withColumn("sound", t.phonetic_key(F.col("name_a")))
-    b = u.select(F.col("record_no").alias("other"), F.col("dhis2_uid").alias("uid"), t.normalize_geo(F.regexp_replace("regional", "(?i)reg\\\\.", "region")).alias("region_norm"), clean("dhis2_name").alias("name_b")).withColumn("sound", t.phonetic_key(F.col("name_b")))
-    p = a.join(b, ["region_norm", "sound"]).where("name_a <> '' and name_b <> ''")
-    p = p.withColumn("score", F.round(sim.levenshtein_similarity(F.col("name_a"), F.col("name_b")), 6))
-    best = registry.row_number_top(p.select("record_no", "uid", "other", "score"), ["record_no"], [F.desc("score"), F.asc("other")])
+    clean = lambda c: letters(t.clean_facility_name(F.col(c)))
+    a = m.select("record_no", "mfr_id", t.normalize_geo(F.col("region")).alias("region_norm"), clean("facility_name").alias("name_a"))
+    b = u.select(F.col("record_no").alias("other"), F.col("dhis2_uid").alias("uid"), t.normalize_geo(F.regexp_replace("regional", "(?i)reg\\\\.", "region")).alias("region_norm"), clean("dhis2_name").alias("name_b"))
+    best = best_of(a.where("name_a <> ''"), b.where("name_b <> ''"))
     out = m.select("record_no", "mfr_id").join(best, "record_no", "left").withColumn("confidence", t.confidence_band(F.col("score")))
     return out.select("record_no", "mfr_id", F.when(F.col("confidence") != "none", F.col("uid")).alias("dhis2_uid"), "confidence", t.reason_text(F.col("score"), F.col("confidence")).alias("reason"))
 
 
+def c09_batch_linkage(spark: SparkSession, d: str) -> DataFrame:
+    """For each unlinked row the nearest name under the same cleaned place and phonetic key, as in its SQL, with band and reason;
+    no row is dropped. c09_whole_linkage searches the whole place."""
+
+    def best_of(a: DataFrame, b: DataFrame) -> DataFrame:
+        p = a.withColumn("sound", t.phonetic_key(F.col("name_a"))).join(b.withColumn("sound", t.phonetic_key(F.col("name_b"))), ["region_norm", "sound"])
+        p = p.withColumn("score", F.round(sim.levenshtein_similarity(F.col("name_a"), F.col("name_b")), 6))
+        return registry.row_number_top(p.select("record_no", "uid", "other", "score"), ["record_no"], [F.desc("score"), F.asc("other")])
+
+    return _c09(spark, d, best_of, _ascii)
+
+
+def c09_whole_linkage(spark: SparkSession, d: str) -> DataFrame:
+    """For each unlinked row the nearest of all names under the same cleaned place, with band and reason; no row is dropped."""
+    best_of = lambda a, b: nearest.top_names(a, b, "region_norm", "record_no", "other", "name_a", "name_b", nearest.LEVENSHTEIN, k=1).select("record_no", "uid", "other", "score")
+    return _c09(spark, d, best_of, lambda c: c)
+
+
 def c01_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """The whole run in one plan: candidates, scores, the calibrated threshold, matches and their coverage."""
     a, b = _sides(spark, d)
@@ -261,7 +272,7 @@ QUERIES = {
         j02_label_join, j03_c05_canonical, j04_compound_block, j05_single_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
         j11_j12_c02_split, j12_anti, j13_verified, j16_left_preserving, j17_a17_reduction, j20_candidate_json, g01_a11_features, g04_bigram_cosine, g06_a09_scored_pairs, g07_j09_embedding_top1,
         g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched,
-        c08_subset_link, c09_batch_linkage,
+        c08_subset_link, c09_batch_linkage, c09_whole_linkage,
     )
 }
 
