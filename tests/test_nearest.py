@@ -44,7 +44,7 @@ def test_candidates_of_the_region(spark, sf):
     import __spark_entry__ as entry
     from weft.queries import linkage
 
-    a, b = linkage._sides(spark, sf)
+    a, b = linkage._sides(spark, sf, linkage._whole_keys)
     p = a.where("existing_dhis2_id is null and name <> ''").select(F.col("rid").alias("a_rid"), F.col("name").alias("na"), "region").join(b.where("name <> ''").select(F.col("rid").alias("b_rid"), F.col("name").alias("nb"), "region"), "region")
     p = p.withColumn("score", F.round(sim.token_sort_ratio(F.col("na"), F.col("nb")), 1))
     want = linkage.registry.row_number_top(p, ["a_rid"], [F.desc("score"), F.asc("b_rid")], 5).select("a_rid", "b_rid", "score")
