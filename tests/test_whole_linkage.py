@@ -32,3 +32,15 @@ def test_names_are_translated_and_expanded_before_blocking(spark, registries):
     exact = entry.queries()["g01_a11_features_preprocessed"](spark, d).where("name_exact = 1").select("a_rid", "b_rid")
     assert ids(exact) == [(1, 1), (3, 3)]
     assert ids(entry.queries()["j10_topk_candidates"](spark, d).where("score = 100").select("a_rid", "b_rid")) == [(1, 1), (3, 3)]
+
+
+def test_pipeline_takes_its_threshold_from_the_labels(spark, registries):
+    # m1-u1 is the only true link and scores under 0.8 without places; the other candidates score lower
+    m = [(1, "m1", "Bole Kebena Alem", "R", None, None, "u1", None), (2, "m2", "Tulu", "R", None, None, None, None)]
+    u = [(1, "u1", "Bole Kebena Alam", "R", None, None, None), (2, "u2", "Tulu", "R", None, None, None)]
+    q = entry.queries()["c01_calibrated_pipeline"]
+    row = q(spark, registries(m, u)).first()
+    assert (row.total, row.mfr_matched, row.dhis2_matched, row.mfr_coverage) == (2, 2, 2, "100.0%")
+    # without a candidate that has a label the default holds, where 0.8 x 1 reaches it
+    row = q(spark, registries([(*x[:6], None, None) for x in m], [(1, "u1", "Bole Kebena Alam", "R", None, None, None)])).first()
+    assert (row.total, row.mfr_coverage) == (0, "0.0%")

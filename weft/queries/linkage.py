@@ -11,7 +11,7 @@ from weft.functions import similarity as sim
 from weft.functions import text as t
 from weft.operators import blocking, judge, nearest, registry, scoring
 from weft.queries import text as tq
-from weft.session import table
+from weft.session import cut, table
 
 
 def _ascii(c):
@@ -112,10 +112,11 @@ def p13_matches(spark: SparkSession, d: str, keys=None) -> DataFrame:
     return s.select(F.col("fid_a").alias("mfr_id"), F.col("fid_b").alias("dhis2_id"), F.round("score", 5).alias("score"), F.lit("inferred").alias("match_type"))
 
 
-def _labelled(spark: SparkSession, d: str, keys=None) -> DataFrame:
+def _labelled(spark: SparkSession, d: str, keys=None, scored: DataFrame | None = None) -> DataFrame:
     """Candidate pairs labelled by the links both registries name, 1 where the reference says so."""
+    scored = _scored(spark, d, keys) if scored is None else scored
     m = table(spark, d, "stg_mfr_facilities").select(F.trim("mfr_id").alias("mfr_id"), F.trim("existing_dhis2_id").alias("ref")).where("ref is not null").distinct()
-    s = _scored(spark, d, keys).select(F.trim("fid_a").alias("mfr_id"), F.trim("fid_b").alias("dhis2_id"), F.round("score", 6).alias("score"))
+    s = scored.select(F.trim("fid_a").alias("mfr_id"), F.trim("fid_b").alias("dhis2_id"), F.round("score", 6).alias("score"))
     return s.join(m, "mfr_id").withColumn("label", (F.col("ref") == F.col("dhis2_id")).cast("int"))
 
 
@@ -257,10 +258,14 @@ def c09_whole_linkage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c01_pipeline(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    """The whole run in one plan: candidates, scores, the calibrated threshold, matches and their coverage."""
+    """The whole run at the default threshold, as in its SQL: candidates, scores, matches and their coverage.
+    c01_calibrated_pipeline takes the threshold from the labels."""
     a, b = _sides(spark, d, keys)
     s = _scored(spark, d, keys).withColumn("score", F.round("score", 6))
-    hits = s.where("score >= 0.8")
+    return _coverage(s.where("score >= 0.8"), a, b)
+
+
+def _coverage(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     n = a.agg(F.countDistinct("fid").alias("l")).crossJoin(F.broadcast(b.agg(F.countDistinct("fid").alias("r"))))
     got = hits.agg(F.count("*").alias("total"), F.countDistinct("fid_a").alias("mfr_matched"), F.countDistinct("fid_b").alias("dhis2_matched"))
     return got.crossJoin(F.broadcast(n)).select(
@@ -268,6 +273,19 @@ def c01_pipeline(spark: SparkSession, d: str, keys=None) -> DataFrame:
     )
 
 
+def _calibrated(spark: SparkSession, d: str, scored: DataFrame) -> DataFrame:
+    """The scored pairs from the best threshold up, which is 0.8 only where no candidate has a label."""
+    best = scoring.best_threshold(scoring.threshold_sweep(_labelled(spark, d, scored=scored)))
+    best = best.agg(F.coalesce(F.max("threshold"), F.lit(0.8)).alias("least"))
+    return scored.crossJoin(F.broadcast(best)).where(F.round("score", 6) >= F.col("least"))
+
+
+def c01_calibrated_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run: candidates, scores, the threshold calibrated by the labels, matches and their coverage."""
+    scored = cut(_scored(spark, d, _whole_keys).select("fid_a", "fid_b", "score"), "scored")
+    return _coverage(_calibrated(spark, d, scored), *_sides(spark, d, _whole_keys))
+
+
 def c08_subset_link(spark: SparkSession, d: str) -> DataFrame:
     """A second link for one level of care only: health centers against health centers, by name and region."""
     a, b = _sides(spark, d)
@@ -280,7 +298,7 @@ QUERIES = {
     for f in (
         j02_label_join, j03_c05_canonical, j04_compound_block, j05_single_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
         j11_j12_c02_split, j12_anti, j13_verified, j16_left_preserving, j17_a17_reduction, j20_candidate_json, g01_a11_features, g04_bigram_cosine, g06_a09_scored_pairs, g07_j09_embedding_top1,
-        g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched,
+        g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c01_calibrated_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched,
         c08_subset_link, c09_batch_linkage, c09_whole_linkage,
     )
 }
