@@ -44,3 +44,9 @@ def test_pipeline_takes_its_threshold_from_the_labels(spark, registries):
     # without a candidate that has a label the default holds, where 0.8 x 1 reaches it
     row = q(spark, registries([(*x[:6], None, None) for x in m], [(1, "u1", "Bole Kebena Alam", "R", None, None, None)])).first()
     assert (row.total, row.mfr_coverage) == (0, "0.0%")
+
+
+def test_phonetic_blocks_hold_variant_spellings(spark, registries):
+    m = [(1, "m1", "Bole", "R", None, None, None, None), (2, "m2", "Tulu", "S", None, None, None, None), (3, "m3", "", "S", None, None, None, None)]
+    u = [(1, "u1", "Bolle", None, None, None, None), (2, "u2", "Tullu", "R", None, None, None), (3, "u3", "", "S", None, None, None)]
+    assert ids(entry.queries()["j05_phonetic_block"](spark, registries(m, u))) == [(1, 1), (2, 2)]

@@ -46,11 +46,20 @@ def j04_compound_block(spark: SparkSession, d: str, keys=None) -> DataFrame:
 
 
 def j05_single_block(spark: SparkSession, d: str) -> DataFrame:
-    """Blocking by the whole name, the key at hand where a registry has no region."""
+    """Blocking by the whole name, as in its SQL. j05_phonetic_block blocks by the key of the survey."""
     a, b = (x.where("name <> ''") for x in _sides(spark, d))
     return blocking.block(a, b, ["name"], "rid", "rid")
 
 
+def j05_phonetic_block(spark: SparkSession, d: str) -> DataFrame:
+    """Blocking by the phonetic key alone, where a registry has no region. Hot keys are dealt over the right rows' salt."""
+    salts = F.sequence(F.lit(0), F.lit(7))
+    a, b = (x.where("phonetic <> ''") for x in _sides(spark, d, _whole_keys))
+    a = a.withColumn("salt", F.explode(salts))
+    b = b.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(8)).cast("int"))
+    return blocking.block(a, b, ["phonetic", "salt"], "rid", "rid")
+
+
 def j06_sorted_neighbourhood(spark: SparkSession, d: str, keys=None) -> DataFrame:
     a, b = _sides(spark, d, keys)
     return blocking.sorted_neighbourhood(a, b, "name", "rid", "rid", block_keys=["region"])
@@ -296,7 +305,7 @@ def c08_subset_link(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        j02_label_join, j03_c05_canonical, j04_compound_block, j05_single_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
+        j02_label_join, j03_c05_canonical, j04_compound_block, j05_single_block, j05_phonetic_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
         j11_j12_c02_split, j12_anti, j13_verified, j16_left_preserving, j17_a17_reduction, j20_candidate_json, g01_a11_features, g04_bigram_cosine, g06_a09_scored_pairs, g07_j09_embedding_top1,
         g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c01_calibrated_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched,
         c08_subset_link, c09_batch_linkage, c09_whole_linkage,
