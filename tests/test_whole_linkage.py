@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 MFR = "record_no int, mfr_id string, facility_name string, region string, woreda string, zone string, existing_dhis2_id string, facility_type string"
-DHIS2 = "record_no int, dhis2_uid string, dhis2_name string, regional string, wereda string, zonal string, facility_type string"
+DHIS2 = "record_no int, dhis2_uid string, dhis2_name string, regional string, wereda string, zonal string, facilitytype string"
 
 
 @pytest.fixture
@@ -50,3 +50,14 @@ def test_phonetic_blocks_hold_variant_spellings(spark, registries):
     m = [(1, "m1", "Bole", "R", None, None, None, None), (2, "m2", "Tulu", "S", None, None, None, None), (3, "m3", "", "S", None, None, None, None)]
     u = [(1, "u1", "Bolle", None, None, None, None), (2, "u2", "Tullu", "R", None, None, None), (3, "u3", "", "S", None, None, None)]
     assert ids(entry.queries()["j05_phonetic_block"](spark, registries(m, u))) == [(1, 1), (2, 2)]
+
+
+def test_unmatched_of_both_sides_and_subset_matches(spark, registries):
+    m = [(1, "m1", "Bole HC", "R Region", "w", "z", None, "Health Center"), (2, "m2", "Tulu", "S", None, None, None, "General Hospital")]
+    u = [(1, "u1", "Bole Health Center", "R", "w", "z", "Health Center"), (2, "u2", "Kera", "S", None, None, "General Hospital")]
+    d = registries(m, u)
+    spark.createDataFrame([("m1", "u1")], "mfr_id string, dhis2_uid string").write.parquet(f"{d}/facility_linkage.parquet")
+    q = entry.queries()
+    want = [(s, by, v, 1, by == "facility_type") for s in ("dhis2", "mfr") for by, v in (("facility_type", "General Hospital"), ("region", "S"))]
+    assert ids(q["c06_unmatched_sides"](spark, d)) == want
+    assert ids(q["c08_subset_matches"](spark, d)) == [("m1", "u1", 1.0)]

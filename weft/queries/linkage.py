@@ -230,13 +230,23 @@ def c04_unmapped_regions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c06_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    """Facilities without any link, by type, hospitals marked for review."""
+    """Facilities of the left registry without any link, by type, as in its SQL. c06_unmatched_sides has both registries."""
     m = table(spark, d, "stg_mfr_facilities")
     k = table(spark, d, "facility_linkage").where("dhis2_uid is not null")
     g = registry.unmatched(m, k, "mfr_id").where("facility_type is not null").groupBy("facility_type").agg(F.count("*").alias("n"))
     return g.withColumn("review", F.col("facility_type").isin("General Hospital", "Referral Hospital", "Primary Hospital"))
 
 
+def c06_unmatched_sides(spark: SparkSession, d: str) -> DataFrame:
+    """Facilities of either registry without any link, by region and by type, hospitals marked for review."""
+    k = table(spark, d, "facility_linkage").where("dhis2_uid is not null")
+    m = registry.unmatched(table(spark, d, "stg_mfr_facilities"), k, "mfr_id").select(F.lit("mfr").alias("side"), "region", "facility_type")
+    u = registry.unmatched(table(spark, d, "stg_dhis2_facilities"), k, "dhis2_uid").select(F.lit("dhis2").alias("side"), F.col("regional").alias("region"), F.col("facilitytype").alias("facility_type"))
+    rows = m.unionByName(u).withColumn("region", t.normalize_region(F.col("region")))
+    by = lambda c: rows.where(F.col(c).isNotNull()).groupBy("side", F.lit(c).alias("by"), F.col(c).alias("value")).agg(F.count("*").alias("n"))
+    return by("region").unionByName(by("facility_type")).withColumn("review", (F.col("by") == "facility_type") & F.lower("value").contains("hospital"))
+
+
 def _c09(spark: SparkSession, d: str, best_of, letters) -> DataFrame:
     m = table(spark, d, "stg_mfr_facilities").where(t.blank_to_null(F.col("existing_dhis2_id")).isNull()).distinct()
     u = table(spark, d, "stg_dhis2_facilities").distinct()
@@ -296,19 +306,28 @@ def c01_calibrated_pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c08_subset_link(spark: SparkSession, d: str) -> DataFrame:
-    """A second link for one level of care only: health centers against health centers, by name and region."""
+    """The blocks of a second link for health centers only, as in its SQL. c08_subset_matches is the whole link."""
     a, b = _sides(spark, d)
     kind = F.lower(F.trim("facility_name")).like("%health center")
     return blocking.block(a.where(kind), b.where(kind), ["region", "phonetic"], "rid", "rid")
 
 
+def c08_subset_matches(spark: SparkSession, d: str) -> DataFrame:
+    """A second link for health centers only: candidates, scores and matches from the calibrated threshold up."""
+    a, b = (x.where(F.col("name").like("%health center")) for x in _sides(spark, d, _whole_keys))
+    pairs = blocking.candidates(a, b, "rid", "rid", phonetic="phonetic", region="region", sort_key="name")
+    s = scoring.lexical_score("name")(scoring.hydrate(pairs, a, b, "rid", "rid", ["fid", "name", "region", "woreda", "zone"]))
+    hits = _calibrated(spark, d, cut(s.select("fid_a", "fid_b", "score"), "scored"))
+    return hits.select(F.col("fid_a").alias("mfr_id"), F.col("fid_b").alias("dhis2_id"), F.round("score", 5).alias("score"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         j02_label_join, j03_c05_canonical, j04_compound_block, j05_single_block, j05_phonetic_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
         j11_j12_c02_split, j12_anti, j13_verified, j16_left_preserving, j17_a17_reduction, j20_candidate_json, g01_a11_features, g04_bigram_cosine, g06_a09_scored_pairs, g07_j09_embedding_top1,
-        g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c01_calibrated_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched,
-        c08_subset_link, c09_batch_linkage, c09_whole_linkage,
+        g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c01_calibrated_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched, c06_unmatched_sides,
+        c08_subset_link, c08_subset_matches, c09_batch_linkage, c09_whole_linkage,
     )
 }
 
