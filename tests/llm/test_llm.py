@@ -147,11 +147,11 @@ def test_array_forms_equal_the_plain_ones():
     rnd = random.Random(3)
     words = sorted({"".join(rnd.choice("abehoyw") for _ in range(rnd.randint(1, 7))) for _ in range(60)})
     a, b = (np.array([rnd.randrange(len(words)) for _ in range(800)]) for _ in range(2))
-    assert np.allclose(names.word_likeness(words, a, b), [names._word(words[x], words[y]) for x, y in zip(a, b)], atol=1e-5)
+    assert np.allclose(names.word_likeness(names.Spelt(words), a, b), [names._word(words[x], words[y]) for x, y in zip(a, b)], atol=1e-5)
     full = [f"{rnd.choice(words)} {rnd.choice(words)}" if rnd.random() < 0.8 else rnd.choice(words) for _ in range(50)]
     i, j = (x.ravel() for x in np.meshgrid(range(50), range(50)))
     want = [names.likeness(full[x], full[y]) for x, y in zip(i, j)]
-    assert np.abs(names.likeness_of(full, full, i, j) - want).max() <= 0.0101
+    assert np.abs(names.likeness_of(names.Words(full), i, j) - want).max() <= 0.0101
 
 
 def test_cosine_pairs_against_dense_products():
@@ -166,37 +166,98 @@ def test_cosine_pairs_against_dense_products():
     s = m @ m.T
     for chunk in (names.CHUNK, 50):
         names.CHUNK, old = chunk, names.CHUNK
-        got = set(zip(*(x.tolist() for x in names.cosine_pairs(full, None, idf, 0.2))))
+        i, j, cosine = names.cosine_pairs(full, np.zeros(len(full), np.int64), idf, 0.2)
+        got = set(zip(i.tolist(), j.tolist()))
+        assert np.abs(cosine - s[i, j]).max() < 1e-5 and len(got) == len(i)
+        # two cells apart, and parts of one cell
+        half = np.arange(len(full)) % 2
+        i, j, _ = names.cosine_pairs(full, half, idf, 0.2)
+        assert set(zip(i.tolist(), j.tolist())) == {(i, j) for i, j in got if (i - j) % 2 == 0}
+        i, j, _ = names.cosine_pairs(full, np.zeros(len(full), np.int64), idf, 0.2, half)
+        assert set(zip(i.tolist(), j.tolist())) == {(i, j) for i, j in got if (i - j) % 2}
         names.CHUNK = old
         sure = {(i, j) for i in range(len(full)) for j in range(i + 1, len(full)) if s[i, j] > 0.2001}
         maybe = {(i, j) for i in range(len(full)) for j in range(i + 1, len(full)) if s[i, j] > 0.1999}
         assert sure <= got <= maybe
 
 
+def _linkage(pairs, weight=None, least=755):
+    a, b, sim = (np.array(x) for x in zip(*pairs))
+    w = weight or {}
+    item, cluster = names.average_linkage(a, b, sim, np.array([w.get(x, 1) for x in a]), np.array([w.get(x, 1) for x in b]), least)
+    return dict(zip(item.tolist(), cluster.tolist()))
+
+
+def _greedy(pairs, least):
+    """Average linkage, the best pair of clusters merged first, absent pairs counting 0."""
+    sim = {frozenset((a, b)): s for a, b, s in pairs}
+    groups = [{x} for x in sorted({x for a, b, _ in pairs for x in (a, b)})]
+    while True:
+        best = max(((sum(sim.get(frozenset((x, y)), 0) for x in p for y in q) / (len(p) * len(q)), i, j) for i, p in enumerate(groups) for j, q in enumerate(groups) if i < j), default=(0, 0, 0))
+        if best[0] < least:
+            return {x: min(g) for g in groups for x in g}
+        groups[best[1]] |= groups.pop(best[2])
+
+
 def test_average_linkage_cuts_chains():
     # a - b - c: the ends are unlike, so only the better pair merges
-    assert len(set(names.average_linkage(3, {(0, 1): 0.9, (1, 2): 0.85}, [1, 1, 1], 0.755))) == 2
-    assert len(set(names.average_linkage(3, {(0, 1): 0.9, (1, 2): 0.85, (0, 2): 0.8}, [1, 1, 1], 0.755))) == 1
-    assert names.average_linkage(2, {}, [1, 1], 0.7) == [0, 1]
+    assert len(set(_linkage([(0, 1, 900), (1, 2, 850)]).values())) == 2
+    assert len(set(_linkage([(0, 1, 900), (1, 2, 850), (0, 2, 800)]).values())) == 1
+    # a class of many copies weighs as much as its copies
+    assert len(set(_linkage([(0, 1, 900), (1, 2, 850), (0, 2, 600)]).values())) == 2 and len(set(_linkage([(0, 1, 900), (1, 2, 850), (0, 2, 600)], {1: 9}).values())) == 1
+    assert _linkage([(0, 1, 700)]) == {0: 0, 1: 1}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6))
+def test_average_linkage_against_the_best_pair_first(seed):
+    rnd = random.Random(seed)
+    pairs = [(a, b, s) for (a, b), s in zip([(a, b) for a in range(9) for b in range(a + 1, 9) if rnd.random() < 0.6], rnd.sample(range(500, 1000), 36))]
+    if pairs:
+        assert _linkage(pairs) == _greedy(pairs, 755)
+
 
+def test_linkage_by_joins_equals_linkage_in_a_task(spark):
+    rnd = random.Random(8)
+    pairs = [(a, b, rnd.choice([700, 760, 800, 800, 900, 1000])) for a in range(60) for b in range(a + 1, 60) if rnd.random() < 0.08]
+    weight = {x: rnd.choice([1, 1, 3]) for x in range(60)}
+    df = spark.createDataFrame([(a, b, s, weight[a], weight[b]) for a, b, s in pairs], "a bigint, b bigint, similarity int, wa bigint, wb bigint")
+    got = {r["item"]: r["cluster"] for r in names.linkage_rounds(df, 755).collect()}
+    want = _linkage(pairs, weight)
+    assert got == {x: c for x, c in want.items() if x != c} and len(got) > 10
+    assert names.linkage_rounds(df.where("similarity < 0"), 755).count() == 0
 
-@pytest.mark.parametrize("task_names", [1 << 15, 3])
-def test_linked_names(spark, task_names):
+
+KEYS = "side int, key string, core string, zone int, place string"
+
+
+def _keys(df, block="kind"):
+    extra = [F.max(c).alias(c) for c in df.columns if c not in ("side", "key", "core", "zone", "place", block)]
+    return df.groupBy("side", "key", block).agg(F.collect_set("core").alias("cores"), F.max("zone").alias("zone"), F.max("place").alias("place"), *extra)
+
+
+@pytest.mark.parametrize("task_names,task_edges", [(1 << 15, 1 << 20), (3, 1 << 20), (1 << 15, 1), (2, 0)])
+def test_linked_names(spark, task_names, task_edges):
     rows = [
         (0, "m1", "toke momejo", 5, None), (0, "m2", "toke momejo", 5, None), (1, "u1", "momejo tokke", 5, None), (1, "u1", "toke momej", 5, None), (1, "u1", "toke momej", 5, None),
         (0, "m3", "sefe neshoba", 0, "p"), (1, "u3", "s neshoba", 6, "p"), (1, "u4", "sefe neshoba", 6, "q"), (1, "u5", "hodu gohisi", 5, None), (0, "m6", "gumuqu meshi", 7, None), (1, "u6", "gumuqu meshi", 8, None),
         (0, None, "x y", 5, None), (0, "m9", None, 5, None), (0, "m8", "", 5, None),
     ]
-    df = spark.createDataFrame(rows, "side int, key string, core string, zone int, place string").withColumn("kind", F.lit("hc")).withColumn("part", F.lit(9)).withColumn("similarity", F.lit("clash"))
-    got = {(r.left_key, r.right_key) for r in names.link_names(df, ["kind"], task_names=task_names).collect()}
-    assert got == {("m1", "u1"), ("m2", "u1"), ("m3", "u3")}
-    assert names.link_names(df.limit(0), ["kind"]).count() == 0
+    df = _keys(spark.createDataFrame(rows, KEYS).withColumn("kind", F.lit("hc")).withColumn("part", F.lit(9)).withColumn("similarity", F.lit("clash")))
+    links = lambda x: names.linked_pairs(names.link_names(x, ["kind"], task_names=task_names, task_edges=task_edges))
+    assert {(r.left_key, r.right_key) for r in links(df).collect()} == {("m1", "u1"), ("m2", "u1"), ("m3", "u3")}
+    assert links(df.limit(0)).count() == 0
 
 
 def test_keys_tried_in_several_blocks(spark):
-    p = spark.createDataFrame([("m", "u1", 1.0, 1), ("m", "u2", 0.8, 2), ("n", "u3", 0.9, 1), ("n", "u4", 0.9, 2), ("o", "u5", 0.8, 1)], "left_key string, right_key string, similarity double, region int")
-    tried = spark.createDataFrame([(0, "m"), (0, "n")], "side int, key string")
-    assert sorted((r.left_key, r.right_key) for r in names.only_best_block(p, tried, ["region"]).collect()) == [("m", "u1"), ("o", "u5")]
+    rows = [
+        (0, "m", "toke momejo", 5, 1), (1, "u1", "toke momejo", 5, None), (0, "n1", "sefe neshoba", 6, 1), (0, "n2", "sefe neshoba", 6, 2), (1, "u2", "sefe neshoba", 6, None), (1, "u3", "hodu gohisi", 6, None),
+        (0, "o", "hodu gohissi", 6, 2), (1, "u4", "lazo peku", 6, None), (0, "p", "lazo peku", 6, None),
+    ]
+    df = _keys(spark.createDataFrame([(a, b, c, d, None, e) for a, b, c, d, e in rows], KEYS + ", region int").withColumn("kind", F.lit("hc")), "region")
+    got = names.linked_pairs(names.link_names(df, ["region", "kind"], tried={"region": [1, 2, 3]}))
+    # u1 and u3 have one best region; u2 has two; of u4 and p no region is known at all
+    assert sorted(tuple(r) for r in got.collect()) == [("m", "u1"), ("o", "u3")]
 
 
 # -- sentences --------------------------------------------------------------------------------------------------------

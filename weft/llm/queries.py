@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,23 +133,26 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
         kinds: dict = {}
         for pdf in it:
             place = {c: _each(pdf[c], d.look_up, 0) for c, d in (("region", regions), ("zone", zones))}
+            named = _each(pdf["name"], nameparse.parse, ("", 0, None))
+            at = _each(pdf["place"], nameparse.place)
+            # the second registry's district often holds the facility's name instead
+            other = _each(pdf["place"].where(pdf["side"] == 1), lambda t: nameparse.parse(t)[0], "")
+            ask = [k for k, (n, o) in enumerate(zip(named, other)) if o and n[0] and at[k]]
+            known = names.Words([named[k][0] for k in ask] + [other[k] for k in ask])
+            like = dict(zip(ask, names.likeness_of(known, np.arange(len(ask)), np.arange(len(ask)) + len(ask)).tolist()))
             out = []
-            for side, name, place_, r, z in zip(pdf["side"], pdf["name"], pdf["place"], place["region"], place["zone"]):
-                core, number, kind = nameparse.parse(name)
-                at, extra = nameparse.place(place_), None
-                if side and at and core:
-                    # this registry's district often holds the facility's name instead
-                    other = nameparse.parse(place_)[0]
-                    if other == core:
-                        at = None
-                    elif " " in other:
-                        alike = names.likeness(core, other) >= 0.4 or not set(core.split()).isdisjoint(other.split())
-                        at, extra = None, other if alike else None
-                    elif other and names.likeness(core, other) >= 0.55:
-                        at = None
-                elif side:
-                    at = None
-                out.append((core or None, extra, number, kind, r or up.get(z, 0), z, at))
+            for k, ((core, number, kind), o, r, z) in enumerate(zip(named, other, place["region"], place["zone"])):
+                extra = None
+                if k in like:
+                    if " " in o:
+                        if o != core and (like[k] >= 0.4 or not set(core.split()).isdisjoint(o.split())):
+                            extra = o
+                        at[k] = None
+                    elif o == core or like[k] >= 0.55:
+                        at[k] = None
+                elif o:
+                    at[k] = None
+                out.append((core or None, extra, number, kind, r or up.get(z, 0), z, at[k]))
             cols = list(zip(*out)) if out else [[]] * 7
             if len(kinds) > 1 << 16:
                 kinds.clear()
@@ -166,34 +170,32 @@ def _each(s: pd.Series, f, empty=None) -> list:
     return [got[c] if c >= 0 else empty for c in codes]
 
 
-def p1_links(spark: SparkSession, d: str) -> DataFrame:
-    """(mfr_id, dhis2_uid, similarity) of every pair of keys that names one facility."""
-    rows = cut(_name_rows(spark, d), "name-rows")
-    known = F.mode(F.when(F.col("region") > 0, F.col("region")))
-    votes = rows.groupBy("side", "key").agg(
-        F.coalesce(known, F.lit(0)).alias("region"),
-        F.coalesce(F.mode(F.when(F.col("zone") > 0, F.col("zone"))), F.lit(0)).alias("zone"),
+def _name_groups(spark: SparkSession, d: str) -> DataFrame:
+    """(side, key, group): each key's most frequent region, zone, number, kind and district, and all its names, linked."""
+    rows = _name_rows(spark, d)
+    known = lambda c: F.mode(F.when(F.col(c) > 0, F.col(c)))
+    keys = rows.groupBy("side", "key").agg(
+        known("region").alias("region"),
+        F.coalesce(known("zone"), F.lit(0)).alias("zone"),
         F.coalesce(F.mode(F.when(F.col("core").isNotNull(), F.col("number"))), F.lit(0)).alias("number"),
         F.coalesce(F.mode("kind"), F.mode("type_kind")).alias("kind"),
         F.mode("place").alias("place"),
+        F.array_union(F.collect_set("core"), F.collect_set("extra")).alias("cores"),
     )
-    cores = rows.select("side", "key", F.explode(F.array_compact(F.array("core", "extra"))).alias("core")).distinct()
-    v = cut(cores.join(votes, ["side", "key"]), "name-variants")
-    block = ["region", "number", "kind"]
-    lost = v.where("region = 0 or kind is null")
-    regions = F.array(*[F.lit(r["geo_id"]) for r in table(spark, d, "geo_reference").where("geo_level = 'region'").toLocalIterator()])
-    kinds = F.array(*[F.lit(k) for k in nameparse.KINDS])
-    tried = (
-        lost.withColumn("region", F.explode(F.when(F.col("region") == 0, regions).otherwise(F.array("region"))))
-        .withColumn("kind", F.explode(F.when(F.col("kind").isNull(), kinds).otherwise(F.array("kind"))))
-    )
-    pairs = cut(names.link_names(v.where("region > 0 and kind is not null").unionByName(tried), block), "name-pairs")
-    pairs = names.only_best_block(pairs, lost.select("side", "key").distinct(), block)
-    return pairs.select(F.col("left_key").alias("mfr_id"), F.col("right_key").alias("dhis2_uid"), "similarity")
+    regions = [r["geo_id"] for r in table(spark, d, "geo_reference").where("geo_level = 'region'").toLocalIterator()]
+    return names.link_names(keys, ["region", "number", "kind"], tried={"region": regions, "kind": list(nameparse.KINDS)})
+
+
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """Each key of either registry that is linked, its group, and the number of keys of the other registry in it."""
+    g = cut(_name_groups(spark, d), "name-groups")
+    n = g.groupBy("group").agg(F.count_if(F.col("side") == 0).alias("mfr"), F.count_if(F.col("side") == 1).alias("dhis2")).where("mfr > 0 and dhis2 > 0")
+    links = F.when(F.col("side") == 0, F.col("dhis2")).otherwise(F.col("mfr"))
+    return g.join(n, "group").select(F.when(F.col("side") == 0, "mfr").otherwise("dhis2").alias("registry"), F.col("key").alias("facility_key"), F.col("group").alias("group_key"), links.alias("links"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return p1_links(spark, d).select("mfr_id", "dhis2_uid").distinct()
+    return names.linked_pairs(_name_groups(spark, d)).select(F.col("left_key").alias("mfr_id"), F.col("right_key").alias("dhis2_uid"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p8_packing, p8_report, p9_mix, p9_shares, p10_found)}
