@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -130,13 +131,14 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         regions, zones, up = held.value
-        kinds: dict = {}
+        kinds = lru_cache(1 << 16)(nameparse.kind_of)
+        places, named_place = lru_cache(1 << 16)(nameparse.place), lru_cache(1 << 16)(lambda t: nameparse.parse(t)[0])
         for pdf in it:
             place = {c: _each(pdf[c], d.look_up, 0) for c, d in (("region", regions), ("zone", zones))}
-            named = _each(pdf["name"], nameparse.parse, ("", 0, None))
-            at = _each(pdf["place"], nameparse.place)
+            named = [nameparse.parse(n) for n in pdf["name"]]
+            at = [places(p) for p in pdf["place"]]
             # the second registry's district often holds the facility's name instead
-            other = _each(pdf["place"].where(pdf["side"] == 1), lambda t: nameparse.parse(t)[0], "")
+            other = [named_place(p) if s and p else "" for s, p in zip(pdf["side"], pdf["place"])]
             ask = [k for k, (n, o) in enumerate(zip(named, other)) if o and n[0] and at[k]]
             known = names.Words([named[k][0] for k in ask] + [other[k] for k in ask])
             like = dict(zip(ask, names.likeness_of(known, np.arange(len(ask)), np.arange(len(ask)) + len(ask)).tolist()))
@@ -154,9 +156,7 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
                     at[k] = None
                 out.append((core or None, extra, number, kind, r or up.get(z, 0), z, at[k]))
             cols = list(zip(*out)) if out else [[]] * 7
-            if len(kinds) > 1 << 16:
-                kinds.clear()
-            types = _each(pdf["type"], lambda t: kinds[t] if t in kinds else kinds.setdefault(t, nameparse.kind_of(t)))
+            types = [kinds(t) for t in pdf["type"]]
             yield pd.DataFrame(
                 {"side": pdf["side"], "key": pdf["key"], "core": cols[0], "extra": cols[1], "number": cols[2], "kind": cols[3], "type_kind": types, "region": cols[4], "zone": cols[5], "place": cols[6]}
             )
