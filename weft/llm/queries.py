@@ -107,7 +107,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_units(table(spark, d, "documents"))
 
 
-_PARSED = "side int, key string, core string, extra string, number int, kind string, type_kind string, region int, zone int, place string"
+_PARSED = "side int, key string, core string, extra string, number int, kind int, type_kind int, region int, zone int, place string"
 
 
 def _name_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -118,23 +118,23 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
     u = table(spark, d, "stg_dhis2_facilities").select(
         F.lit(1).alias("side"), strip(F.col("dhis2_uid")).alias("key"), F.col("dhis2_name").alias("name"), F.col("facilitytype").alias("type"), F.col("regional").alias("region"), F.col("zonal").alias("zone"), F.col("wereda").alias("place")
     )
+    rows = m.unionByName(u).where("key <> ''")
     geo = table(spark, d, "geo_reference")
-    if geo.count() > canonical.BROADCAST_ENTRIES:
-        raise ValueError("the list of places is too long to be sent to every task")
-    entries = {"region": [], "zone": []}
-    parent = {}
-    for r in geo.toLocalIterator():
-        if r["geo_level"] in entries:
-            entries[r["geo_level"]].append((r["geo_id"], r["geo_name"], r["short_name"], 1.0))
-            parent[r["geo_id"]] = r["parent_geo_id"] or 0
-    held = spark.sparkContext.broadcast((canonical.Dictionary(entries["region"]), canonical.Dictionary(entries["zone"]), parent))
+    # places are looked up once for each way they are typed
+    for level in ("region", "zone"):
+        typed = rows.where(F.col(level).isNotNull()).select(F.col(level).alias("value")).distinct()
+        entries = canonical.entries_of(geo.where(F.col("geo_level") == level), "geo_id", "geo_name", "short_name")
+        found = cut(canonical.map_values(typed, "value", entries, out="geo_id").where("geo_id > 0").select(F.col("value").alias(level), F.col("geo_id").alias(f"{level}_id")), f"name-{level}s")
+        rows = rows.join(found, level, "left")
+    parents = geo.where("geo_level = 'zone'").select(F.col("geo_id").alias("zone_id"), F.col("parent_geo_id").alias("parent_id"))
+    rows = rows.join(F.broadcast(parents), "zone_id", "left")  # a fixed list of zones
+    rows = rows.select("side", "key", "name", "type", "place", F.coalesce("region_id", "parent_id", F.lit(0)).alias("region"), F.coalesce("zone_id", F.lit(0)).alias("zone"))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        regions, zones, up = held.value
-        kinds = lru_cache(1 << 16)(nameparse.kind_of)
+        number_of = {k: n for n, k in enumerate(nameparse.KINDS)}
+        kinds = lru_cache(1 << 16)(lambda t: number_of.get(nameparse.kind_of(t)))
         places, named_place = lru_cache(1 << 16)(nameparse.place), lru_cache(1 << 16)(lambda t: nameparse.parse(t)[0])
         for pdf in it:
-            place = {c: _each(pdf[c], d.look_up, 0) for c, d in (("region", regions), ("zone", zones))}
             named = [nameparse.parse(n) for n in pdf["name"]]
             at = [places(p) for p in pdf["place"]]
             # the second registry's district often holds the facility's name instead
@@ -143,7 +143,7 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
             known = names.Words([named[k][0] for k in ask] + [other[k] for k in ask])
             like = dict(zip(ask, names.likeness_of(known, np.arange(len(ask)), np.arange(len(ask)) + len(ask)).tolist()))
             out = []
-            for k, ((core, number, kind), o, r, z) in enumerate(zip(named, other, place["region"], place["zone"])):
+            for k, ((core, number, kind), o) in enumerate(zip(named, other)):
                 extra = None
                 if k in like:
                     if " " in o:
@@ -154,20 +154,14 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
                         at[k] = None
                 elif o:
                     at[k] = None
-                out.append((core or None, extra, number, kind, r or up.get(z, 0), z, at[k]))
-            cols = list(zip(*out)) if out else [[]] * 7
+                out.append((core or None, extra, number, number_of.get(kind), at[k]))
+            cols = list(zip(*out)) if out else [[]] * 5
             types = [kinds(t) for t in pdf["type"]]
             yield pd.DataFrame(
-                {"side": pdf["side"], "key": pdf["key"], "core": cols[0], "extra": cols[1], "number": cols[2], "kind": cols[3], "type_kind": types, "region": cols[4], "zone": cols[5], "place": cols[6]}
+                {"side": pdf["side"], "key": pdf["key"], "core": cols[0], "extra": cols[1], "number": cols[2], "kind": pd.array(cols[3], "Int32"), "type_kind": pd.array(types, "Int32"), "region": pdf["region"], "zone": pdf["zone"], "place": cols[4]}
             )
 
-    return m.unionByName(u).where("key <> ''").mapInPandas(run, _PARSED)
-
-
-def _each(s: pd.Series, f, empty=None) -> list:
-    codes, uniq = pd.factorize(s)
-    got = [f(u) for u in uniq]
-    return [got[c] if c >= 0 else empty for c in codes]
+    return rows.mapInPandas(run, _PARSED)
 
 
 def _name_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -182,8 +176,12 @@ def _name_groups(spark: SparkSession, d: str) -> DataFrame:
         F.mode("place").alias("place"),
         F.array_union(F.collect_set("core"), F.collect_set("extra")).alias("cores"),
     )
+    keys = cut(keys, "name-keys")
+    # a district lies in one zone: where the keys that name both agree, the zone of the others is known by the district
+    zones = keys.where("zone > 0 and place is not null").groupBy("region", "place").agg(F.min("zone").alias("lo"), F.max("zone").alias("hi")).where("lo = hi").select("region", "place", F.col("lo").alias("meant"))
+    keys = keys.join(cut(zones, "districts"), ["region", "place"], "left").withColumn("zone", F.when(F.col("zone") > 0, F.col("zone")).otherwise(F.coalesce("meant", F.lit(0)))).drop("meant")
     regions = [r["geo_id"] for r in table(spark, d, "geo_reference").where("geo_level = 'region'").toLocalIterator()]
-    return names.link_names(keys, ["region", "number", "kind"], tried={"region": regions, "kind": list(nameparse.KINDS)})
+    return names.link_names(keys, ["region", "number", "kind"], tried={"region": regions, "kind": list(range(len(nameparse.KINDS)))})
 
 
 def p1_links(spark: SparkSession, d: str) -> DataFrame:
