@@ -28,8 +28,8 @@ def test_names_are_translated_and_expanded_before_blocking(spark, registries):
     u = [(1, "u1", "Bole Health Center", "R", None, None, None), (2, "u2", "ሰላም", "R", None, None, None), (3, "u3", "Health post", "R", None, None, None)]
     d = registries(m, u)
     # the brute force: all pairs of equal region whose preprocessed keys agree
-    assert ids(entry.queries()["j04_compound_block_preprocessed"](spark, d)) == [(1, 1), (3, 3)]
-    exact = entry.queries()["g01_a11_features_preprocessed"](spark, d).where("name_exact = 1").select("a_rid", "b_rid")
+    assert ids(entry.queries()["j04_compound_block"](spark, d)) == [(1, 1), (3, 3)]
+    exact = entry.queries()["g01_a11_features"](spark, d).where("name_exact = 1").select("a_rid", "b_rid")
     assert ids(exact) == [(1, 1), (3, 3)]
     assert ids(entry.queries()["j10_topk_candidates"](spark, d).where("score = 100").select("a_rid", "b_rid")) == [(1, 1), (3, 3)]
 
@@ -38,7 +38,7 @@ def test_pipeline_takes_its_threshold_from_the_labels(spark, registries):
     # m1-u1 is the only true link and scores under 0.8 without places; the other candidates score lower
     m = [(1, "m1", "Bole Kebena Alem", "R", None, None, "u1", None), (2, "m2", "Tulu", "R", None, None, None, None)]
     u = [(1, "u1", "Bole Kebena Alam", "R", None, None, None), (2, "u2", "Tulu", "R", None, None, None)]
-    q = entry.queries()["c01_calibrated_pipeline"]
+    q = entry.queries()["c01_pipeline"]
     row = q(spark, registries(m, u)).first()
     assert (row.total, row.mfr_matched, row.dhis2_matched, row.mfr_coverage) == (2, 2, 2, "100.0%")
     # without a candidate that has a label the default holds, where 0.8 x 1 reaches it
@@ -60,4 +60,4 @@ def test_unmatched_of_both_sides_and_subset_matches(spark, registries):
     q = entry.queries()
     want = [(s, by, v, 1, by == "facility_type") for s in ("dhis2", "mfr") for by, v in (("facility_type", "General Hospital"), ("region", "S"))]
     assert ids(q["c06_unmatched_sides"](spark, d)) == want
-    assert ids(q["c08_subset_matches"](spark, d)) == [("m1", "u1", 1.0)]
+    assert ids(q["c08_subset_link"](spark, d)) == [("m1", "u1", 1.0)]

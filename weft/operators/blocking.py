@@ -1,6 +1,6 @@
 """Candidate pairs by blocking and by sorted neighbourhood, both as equal joins.
 
-Pairs carry only the two records' ids (a_rid, b_rid). Null block keys never pair.
+Pairs of records carry only the two ids (a_rid, b_rid). Null block keys never pair.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.session import cut
+
 
 def block(left: DataFrame, right: DataFrame, keys: list[str], a_id: str, b_id: str) -> DataFrame:
     """Pairs that agree in all keys."""
@@ -18,14 +20,11 @@ def block(left: DataFrame, right: DataFrame, keys: list[str], a_id: str, b_id: s
     return a.join(b, [f"__{i}" for i in range(len(keys))]).select("a_rid", "b_rid")
 
 
-def global_rank(keys: DataFrame, key: str, *, parts: int = 0) -> DataFrame:
-    """(key, rank): dense rank of the distinct non-null keys. With `parts`, ranges are ranked apart and shifted by the sizes
-    of those before them, so no single task sorts all keys; the offsets are one row for each range."""
+def global_rank(keys: DataFrame, key: str, *, parts: int | None = None) -> DataFrame:
+    """(key, rank): dense rank of the distinct non-null keys. Ranges (as many as shuffle partitions) are ranked apart and
+    shifted by the sizes of those before them, so no single task sorts all keys; the offsets are one row for each range."""
+    parts = parts or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = keys.where(F.col(key).isNotNull()).select(key).distinct()
-    if not parts:
-        return d.withColumn("rank", F.dense_rank().over(Window.orderBy(key)))
-    from weft.session import cut
-
     d = cut(d.repartitionByRange(parts, key).withColumn("__part", F.spark_partition_id()), "ranges")
     sizes = d.groupBy("__part").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -35,7 +34,7 @@ def global_rank(keys: DataFrame, key: str, *, parts: int = 0) -> DataFrame:
 
 
 def sorted_neighbourhood(
-    left: DataFrame, right: DataFrame, sort_key: str, a_id: str, b_id: str, *, window: int = 3, block_keys: list[str] = (), rank_parts: int = 0
+    left: DataFrame, right: DataFrame, sort_key: str, a_id: str, b_id: str, *, window: int = 3, block_keys: list[str] = (), rank_parts: int | None = None
 ) -> DataFrame:
     """Pairs whose sort keys lie at most (window - 1) / 2 apart in the order of all distinct keys, inside equal blocks.
 
@@ -56,11 +55,33 @@ def union_pairs(*pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, pairs).distinct()
 
 
-def candidates(left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, phonetic: str, region: str | None, sort_key: str, window: int = 3) -> DataFrame:
-    """Compound blocking where both registries have a region, phonetic blocking where not, and the neighbourhood of the names."""
+def name_pairs(left: DataFrame, right: DataFrame, *, phonetic: str, region: str | None, name: str, window: int = 3) -> DataFrame:
+    """(__block, name_a, name_b): pairs of distinct names, none empty, by compound blocking where both registries have a
+    region and by phonetic blocking where not, and by the neighbourhood of the names. __block is the region, if there is one."""
+    has = region is not None and region in left.columns and region in right.columns
+    own = lambda df: df.where(F.col(name) != "").select((F.col(region) if has else F.lit("")).alias("__block"), F.col(phonetic).alias("__sound"), F.col(name).alias("__name")).distinct()
+    a, b = own(left).withColumnRenamed("__name", "name_a"), own(right).withColumnRenamed("__name", "name_b")
+    same = a.join(b, ["__block", "__sound"]).select("__block", "name_a", "name_b")
+    ids = lambda df, n: df.select("__block", n).distinct().withColumn("__id", F.struct("__block", n))
+    near = sorted_neighbourhood(ids(a, "name_a").withColumnRenamed("name_a", "__n"), ids(b, "name_b").withColumnRenamed("name_b", "__n"), "__n", "__id", "__id", window=window, block_keys=["__block"])
+    near = near.select(F.col("a_rid.__block").alias("__block"), F.col("a_rid.name_a").alias("name_a"), F.col("b_rid.name_b").alias("name_b"))
+    return same.unionByName(near).distinct()
+
+
+def expand(pairs: DataFrame, left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, region: str | None, name: str, columns: list[str] = ()) -> DataFrame:
+    """Pairs of names (name_pairs, and what was added to them) as pairs of records, with both records' columns suffixed _a
+    and _b. The name itself is there as name_a and name_b."""
     has = region is not None and region in left.columns and region in right.columns
-    keys = [region, phonetic] if has else [phonetic]
-    return union_pairs(block(left, right, keys, a_id, b_id), sorted_neighbourhood(left, right, sort_key, a_id, b_id, window=window, block_keys=[region] if has else []))
+    side = lambda df, i, s, n: df.where(F.col(name) != "").select((F.col(region) if has else F.lit("")).alias("__block"), F.col(name).alias(n), F.col(i).alias(f"{s}_rid"), *[F.col(c).alias(f"{c}_{s}") for c in columns if c != name])
+    a, b = side(left, a_id, "a", "name_a"), side(right, b_id, "b", "name_b")
+    return pairs.join(a, ["__block", "name_a"]).join(b, ["__block", "name_b"]).drop("__block")
+
+
+def candidates(left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, phonetic: str, region: str | None, sort_key: str, window: int = 3) -> DataFrame:
+    """Candidate pairs of records whose names are candidates. Names are paired once, however many records bear them; the
+    phonetic key depends on the name, and records without a name pair with none."""
+    pairs = name_pairs(left, right, phonetic=phonetic, region=region, name=sort_key, window=window)
+    return expand(pairs, left, right, a_id, b_id, region=region, name=sort_key).select("a_rid", "b_rid")
 
 
 def reduction(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ rows count as often as they come. Very long values count by their characters lik
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from weft.session import cut
 NAME_BITS = 8.0  # a character of an expression
 DIGIT, UPPER, LETTER, WORD, ANY = 3.33, 4.71, 4.71, 6.0, 7.0  # a character of its class
 RUN_BITS = 4.0  # the length of a run
+PLUS, STAR = "\ue000", "\ue001"  # for + and * as typed, of the block for private use
 
 
 @dataclass(frozen=True)
@@ -33,13 +35,18 @@ class ColumnRule:
     most: int | None = None
     pattern: str | None = None
 
-    def valid(self, v: Column) -> Column:
-        if self.kind == "number":
-            ok = v.rlike("^[0-9]+$")
-            if self.most is not None:
-                ok = ok & (F.regexp_replace(v, "^0+(?=.)", "").try_cast("decimal(38,0)") <= self.most)
-            return F.coalesce(ok, F.lit(False))
-        return F.coalesce(v.rlike(self.pattern) if self.pattern else F.lit(True), F.lit(False))
+    def shaped(self, v: Column) -> Column:
+        """Whether a value has a valid shape."""
+        return F.coalesce(v.rlike(r"^\p{Nd}+$" if self.kind == "number" else self.pattern or ""), F.lit(False))
+
+    def bounded(self, v: Column) -> Column:
+        """Whether a value of valid shape is valid: what no expression can tell, a number's size and its digits' script."""
+        if self.kind != "number":
+            return F.lit(True)
+        ok = v.rlike("^[0-9]+$")
+        if self.most is not None:
+            ok = ok & (F.regexp_replace(v, "^0+(?=.)", "").try_cast("decimal(38,0)") <= self.most)
+        return F.coalesce(ok, F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -59,14 +66,13 @@ def value_counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
 
 
 def _classes(v: Column) -> Column:
-    c = F.regexp_replace(v, r"\p{Nd}", "0")
-    c = F.regexp_replace(c, r"\p{Lu}", "A")
-    c = F.regexp_replace(c, r"[\p{L}\p{M}&&[^A]]", "a")
-    return F.regexp_replace(c, r"(?U)\s", " ")
+    # letters first, so that the letters that stand for the classes mean nothing else; + and * as typed stand aside
+    c = F.regexp_replace(F.translate(v, "+*", PLUS + STAR), r"[\p{Ll}\p{Lt}\p{Lm}\p{Lo}]", "a")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\p{M}", "m"), r"\p{Lu}", "A"), r"\p{Nd}", "0")
 
 
 def _squeeze(c: Column) -> Column:
-    for k in ("0", "A", "a", " "):
+    for k in ("0", "A", "a", "m", " "):
         c = F.regexp_replace(c, f"{k}{k}+", f"{k}+") if k != " " else F.regexp_replace(c, " +", " ")
     return c
 
@@ -79,7 +85,7 @@ def induce(values: DataFrame) -> DataFrame:
     v = v.select("*", _squeeze(F.col("exact")).alias("runs"))
     v = v.select("*", F.regexp_replace(F.regexp_replace("runs", r"(A\+?|a\+?)+", "w+"), r"w\+( w\+)+", "w+( w+)*").alias("words"))
     count = lambda k: F.length("exact") - F.length(F.regexp_replace("exact", k, ""))
-    digits, upper, lower, size = count("0"), count("A"), count("a"), F.length("exact")
+    digits, upper, lower, size = count("0"), count("A"), count("a") + count("m"), F.length("exact")
     runs = F.length(F.regexp_replace("runs", r"[^+]", ""))
     base = digits * DIGIT + upper * UPPER + lower * LETTER
     v = v.select(
@@ -107,13 +113,14 @@ def induce(values: DataFrame) -> DataFrame:
     )
     rung = F.when(F.col("own3"), "any").when(F.col("own2"), "words").when(F.col("own1"), "runs").otherwise("exact")
     lit = lambda c: F.regexp_replace(c, r"([\\.\[\](){}^$|?])", r"\\$1")
-    classes = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "0", r"\\d"), "A", r"\\p{Lu}"), "a", r"\\p{L}")
+    classes = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "m", r"\\p{M}"), "0", r"\\d"), "A", r"\\p{Lu}"), r"(?<!p\{)a", r"\\p{L}")
     shown = (
         F.when(F.col("own3"), F.lit(".*"))
         .when(F.col("own2"), F.regexp_replace(F.regexp_replace("words", "w", r"\\p{L}"), "0", r"\\d"))
         .when(F.col("own1"), classes(lit(F.col("runs"))))
         .otherwise(classes(lit(F.col("exact"))))
     )
+    shown = F.replace(F.replace(shown, F.lit(PLUS), F.lit(r"\+")), F.lit(STAR), F.lit(r"\*"))
     return chosen.select("column_name", "value", shown.alias("expression"), rung.alias("rung"))
 
 
@@ -139,13 +146,16 @@ def profile(df: DataFrame, spec: ProfileSpec, *, common: float = 0.01) -> DataFr
     valid value, and the share of rows under the induced expressions that hold at least `common` of a column's values."""
     # read by the induction, the medians and the rates: distinct values, far fewer than rows
     counts = cut(value_counts(df, spec), "values")
-    by_name = {r.column: r for r in spec.rules}
-    valid = F.lit(False)
-    for name, rule in by_name.items():
-        valid = F.when(F.col("column_name") == name, rule.valid(F.col("value"))).otherwise(valid)
+    by_column = lambda test: reduce(lambda other, r: F.when(F.col("column_name") == r.column, test(r)).otherwise(other), spec.rules, F.lit(False))
     numeric = F.col("column_name").isin([r.column for r in spec.rules if r.kind == "number"])
     shapes = cut(induce(counts), "expressions")
-    counts = counts.join(shapes, ["column_name", "value"], "left").withColumn("valid", F.col("value").isNotNull() & valid)
+    # whether an expression conforms to its column's rule is told by one of its values, since all of them have the same
+    # classes and signs in it; only of "any" each value is asked
+    one = shapes.groupBy("column_name", "expression", "rung").agg(F.min("value").alias("one"))
+    conform = one.select("column_name", "expression", F.when(F.col("rung") != "any", by_column(lambda r: r.shaped(F.col("one")))).alias("conforms"))
+    counts = counts.join(shapes, ["column_name", "value"], "left").join(conform, ["column_name", "expression"], "left")
+    shaped = F.coalesce("conforms", by_column(lambda r: r.shaped(F.col("value"))))
+    counts = counts.withColumn("valid", F.col("value").isNotNull() & shaped & by_column(lambda r: r.bounded(F.col("value"))))
     counts = counts.withColumn("number", F.when(numeric & F.col("valid"), F.col("value").try_cast("decimal(38,0)").try_cast("bigint")))
     kept = counts.groupBy("column_name", "expression").agg(F.sum("n").alias("n")).where("expression is not null")
     kept = kept.withColumn("common", F.col("n") >= common * F.sum("n").over(Window.partitionBy("column_name"))).select("column_name", "expression", "common")

@@ -41,20 +41,25 @@ def features(pairs: DataFrame, name: str, equal: list[str] = (), *, threshold: f
     return df.withColumn("feature_sum", total).withColumn("feature_mean", 2 * F.col("feature_sum") / (len(out) + 1))
 
 
-def lexical_score(name: str, places: list[str] = ("woreda", "zone")) -> Scorer:
+def name_likeness(a: Column, b: Column) -> Column:
+    """The mean of three string similarities."""
+    return (sim.levenshtein_similarity(a, b) + sim.jaro_winkler_similarity(a, b) + sim.bigram_cosine(a, b)) / 3
+
+
+def lexical_score(name: str, places: list[str] = ("woreda", "zone"), *, known: str = "__text") -> Scorer:
     """The score at hand without a model: the mean of three string similarities of the names, and the share of places that
-    agree as a fifth of the whole. Fixed range 0 to 1."""
+    agree as a fifth of the whole. Fixed range 0 to 1. The likeness of the names is taken from column `known` where the
+    pairs have it, such as where names were compared before they were spread to records."""
 
     def score(pairs: DataFrame) -> DataFrame:
         a, b = F.col(f"{name}_a"), F.col(f"{name}_b")
-        # each distinct pair of names is compared once
-        names = pairs.select(a, b).distinct()
-        text = (sim.levenshtein_similarity(a, b) + sim.jaro_winkler_similarity(a, b) + sim.bigram_cosine(a, b)) / 3
-        names = names.withColumn("__text", text)
         got = [sim.exact(F.lower(F.trim(f"{p}_a")), F.lower(F.trim(f"{p}_b"))) for p in places if f"{p}_a" in pairs.columns and f"{p}_b" in pairs.columns]
         agree = reduce(add, got) / len(got) if got else F.lit(0.0)
-        both = pairs.join(names, [f"{name}_a", f"{name}_b"])
-        return both.withColumn("score", 0.8 * F.col("__text") + 0.2 * agree if got else F.col("__text")).drop("__text")
+        if known not in pairs.columns:
+            # each distinct pair of names is compared once
+            names = pairs.select(a, b).distinct().withColumn(known, name_likeness(a, b))
+            pairs = pairs.join(names, [f"{name}_a", f"{name}_b"])
+        return pairs.withColumn("score", 0.8 * F.col(known) + 0.2 * agree if got else F.col(known)).drop(known)
 
     return score
 
@@ -105,3 +110,10 @@ def threshold_sweep(labelled: DataFrame, *, low: float = 0.5, steps: int = 50, s
 def best_threshold(sweep: DataFrame) -> DataFrame:
     """The row of the highest F1, the lowest threshold among equals."""
     return sweep.orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
+
+
+def calibration_document(sweep: DataFrame) -> DataFrame:
+    """One row: the sweep, which has no more rows than the grid, and its best threshold as a JSON document."""
+    curve = F.sort_array(F.collect_list(F.struct("threshold", "precision", "recall", "f1", "tp", "fp", "fn", "tn")))
+    best = F.max_by("threshold", F.struct("f1", (-F.col("threshold")).alias("low")))
+    return sweep.agg(F.to_json(F.struct(best.alias("optimal_threshold"), curve.alias("all_results"))).alias("document"))

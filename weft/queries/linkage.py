@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import partial
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.functions import scripts
 from weft.functions import similarity as sim
 from weft.functions import text as t
 from weft.operators import blocking, judge, nearest, registry, scoring
@@ -14,145 +13,153 @@ from weft.queries import text as tq
 from weft.session import cut, table
 
 
-def _ascii(c):
-    """One character for each byte outside ASCII's, so that every engine counts letters alike."""
-    return F.regexp_replace(c, r"[^\x00-\x7F]", "?")
-
-
-def _sides(spark: SparkSession, d: str, keys=None) -> tuple[DataFrame, DataFrame]:
+def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Both registries conformed to one schema: id, name, region, woreda, zone, with the derived keys."""
     m = table(spark, d, "stg_mfr_facilities").select(F.col("record_no").alias("rid"), F.col("mfr_id").alias("fid"), "facility_name", "region", "woreda", "zone", "existing_dhis2_id")
     u = table(spark, d, "stg_dhis2_facilities").select(
         F.col("record_no").alias("rid"), F.col("dhis2_uid").alias("fid"), F.col("dhis2_name").alias("facility_name"), F.col("regional").alias("region"), F.col("wereda").alias("woreda"), F.col("zonal").alias("zone")
     )
-    return tuple((keys or _keys)(x) for x in (m, u))
+    return tuple(_keys(x) for x in (m, u))
+
+
+def _name(c) -> Column:
+    """A name translated, expanded, normalised and, what is then left in the other script, romanised; so letters are told
+    apart, spellings of either script meet, and every engine counts letters alike."""
+    return scripts.romanise(t.normalize_text(t.expand_abbreviations(t.transliterate_amharic(F.col(c)))))
 
 
 def _keys(df: DataFrame) -> DataFrame:
-    """The keys of the SQL: the name as typed, normalised. _whole_keys are those of the survey."""
-    norm = _ascii(t.normalize_text(F.col("facility_name")))
-    # rows delivered twice are one record
-    return df.distinct().withColumns({"region": t.normalize_region(F.col("region")), "name": norm}).withColumn("phonetic", t.phonetic_key(F.col("name")))
+    """The keys of a record. The region as delivered is kept beside the one that is compared."""
+    x = df.distinct().withColumns({"region_raw": F.col("region"), "region": t.normalize_region(F.col("region")), "name": _name("facility_name")})  # rows delivered twice are one record
+    return x.withColumn("phonetic", t.phonetic_key(F.col("name")))
 
 
-def _whole_keys(df: DataFrame) -> DataFrame:
-    """Names translated and expanded before they are normalised, letters of any script kept apart."""
-    x = t.preprocess(df.distinct(), places=()).withColumn("region", t.normalize_region(F.col("region")))
-    return x.withColumnsRenamed({"facility_normalized": "name", "facility_phonetic": "phonetic"}).drop("facility_amharic_xlat", "facility_expanded")
+def p18_raw_region(spark: SparkSession, d: str) -> DataFrame:
+    """The region as delivered beside the one that took its place."""
+    return _sides(spark, d)[0].select("rid", "region_raw", "region")
 
 
-def j04_compound_block(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    return blocking.block(*_sides(spark, d, keys), ["region", "phonetic"], "rid", "rid")
+def _named(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return tuple(x.where("name <> ''") for x in _sides(spark, d))
 
 
-def j05_single_block(spark: SparkSession, d: str) -> DataFrame:
-    """Blocking by the whole name, as in its SQL. j05_phonetic_block blocks by the key of the survey."""
-    a, b = (x.where("name <> ''") for x in _sides(spark, d))
-    return blocking.block(a, b, ["name"], "rid", "rid")
+def j04_compound_block(spark: SparkSession, d: str) -> DataFrame:
+    return blocking.block(*_named(spark, d), ["region", "phonetic"], "rid", "rid")
 
 
 def j05_phonetic_block(spark: SparkSession, d: str) -> DataFrame:
     """Blocking by the phonetic key alone, where a registry has no region. Hot keys are dealt over the right rows' salt."""
     salts = F.sequence(F.lit(0), F.lit(7))
-    a, b = (x.where("phonetic <> ''") for x in _sides(spark, d, _whole_keys))
+    a, b = _named(spark, d)
     a = a.withColumn("salt", F.explode(salts))
     b = b.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(8)).cast("int"))
     return blocking.block(a, b, ["phonetic", "salt"], "rid", "rid")
 
 
-def j06_sorted_neighbourhood(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    a, b = _sides(spark, d, keys)
-    return blocking.sorted_neighbourhood(a, b, "name", "rid", "rid", block_keys=["region"])
+def j06_sorted_neighbourhood(spark: SparkSession, d: str) -> DataFrame:
+    return blocking.sorted_neighbourhood(*_named(spark, d), "name", "rid", "rid", block_keys=["region"])
 
 
-def j07_neighbourhood_anywhere(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    """Without a block, the ranks shared out over ranges."""
-    a, b = (x.where("name <> ''") for x in _sides(spark, d, keys))
-    return blocking.sorted_neighbourhood(a, b, "name", "rid", "rid", rank_parts=8)
+def j07_neighbourhood_anywhere(spark: SparkSession, d: str) -> DataFrame:
+    return blocking.sorted_neighbourhood(*_named(spark, d), "name", "rid", "rid")
 
 
-def _candidates(spark: SparkSession, d: str, keys=None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    a, b = _sides(spark, d, keys)
-    return a, b, blocking.candidates(a, b, "rid", "rid", phonetic="phonetic", region="region", sort_key="name")
+PLACES = ["fid", "region", "woreda", "zone"]
 
 
-def j08_candidates_union(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    return _candidates(spark, d, keys)[2]
+def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    return blocking.name_pairs(a, b, phonetic="phonetic", region="region", name="name")
 
 
-def j17_a17_reduction(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    return blocking.reduction(*_candidates(spark, d, keys))
+def _hydrated(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None, columns: list[str] = PLACES) -> DataFrame:
+    """Candidate pairs of names as pairs of records, with both records' columns."""
+    return blocking.expand(_pairs(a, b) if pairs is None else pairs, a, b, "rid", "rid", region="region", name="name", columns=columns)
+
+
+def j08_candidates_union(spark: SparkSession, d: str) -> DataFrame:
+    return _hydrated(*_sides(spark, d), columns=[]).select("a_rid", "b_rid")
+
+
+def p08_no_region(spark: SparkSession, d: str) -> DataFrame:
+    """The candidates of a plan without regions, where the right registry has no such column."""
+    a, b = _sides(spark, d)
+    return blocking.candidates(a, b.drop("region"), "rid", "rid", phonetic="phonetic", region="region", sort_key="name")
 
 
-def _hydrated(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    a, b, pairs = _candidates(spark, d, keys)
-    return scoring.hydrate(pairs, a, b, "rid", "rid", ["fid", "name", "region", "woreda", "zone"])
+def j17_a17_reduction(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _sides(spark, d)
+    return blocking.reduction(a, b, _hydrated(a, b, columns=[]))
 
 
-def g01_a11_features(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    f = scoring.features(_hydrated(spark, d, keys), "name", ["region", "woreda"])
+def g01_a11_features(spark: SparkSession, d: str) -> DataFrame:
+    f = scoring.features(_hydrated(*_sides(spark, d)), "name", ["region", "woreda"])
     return f.select("a_rid", "b_rid", "name_exact", "name_levenshtein", "name_jaro_winkler", "region_exact", "woreda_exact")
 
 
-def g04_bigram_cosine(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    h = _hydrated(spark, d, keys)
+def g04_bigram_cosine(spark: SparkSession, d: str) -> DataFrame:
+    h = _hydrated(*_sides(spark, d))
     f = scoring.features(h, "name", ["region", "woreda"])
     return f.select("a_rid", "b_rid", F.round(sim.bigram_cosine(F.col("name_a"), F.col("name_b")), 6).alias("cosine"), "feature_sum", F.round("feature_mean", 6).alias("feature_mean"))
 
 
-def _scored(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    return scoring.lexical_score("name")(_hydrated(spark, d, keys))
+def _score(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Names are compared as pairs of names and then spread to records."""
+    pairs = _pairs(a, b).withColumn("__text", scoring.name_likeness(F.col("name_a"), F.col("name_b")))
+    return scoring.lexical_score("name")(_hydrated(a, b, cut(pairs, "name-pairs")))
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return _score(*_sides(spark, d))
 
 
-def g06_a09_scored_pairs(spark: SparkSession, d: str, keys=None) -> DataFrame:
+def g06_a09_scored_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Pairs with the score over its range in this batch."""
-    s = scoring.min_max(_scored(spark, d, keys))
+    s = scoring.min_max(_scored(spark, d))
     return s.select("a_rid", "b_rid", F.round("score", 5).alias("score"))
 
 
-def a03_score_stats(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    s = scoring.score_stats(_scored(spark, d, keys))
+def a03_score_stats(spark: SparkSession, d: str) -> DataFrame:
+    s = scoring.score_stats(_scored(spark, d))
     return s.select(*[F.round(c, 5).alias(c) for c in ("mean", "median", "min", "max", "std")], "n")
 
 
-def p13_matches(spark: SparkSession, d: str, keys=None) -> DataFrame:
+def p13_matches(spark: SparkSession, d: str) -> DataFrame:
     """Matches from the threshold up, all that reach it."""
-    s = _scored(spark, d, keys).where(F.round("score", 6) >= 0.8)
+    s = _scored(spark, d).where(F.round("score", 6) >= 0.8)
     return s.select(F.col("fid_a").alias("mfr_id"), F.col("fid_b").alias("dhis2_id"), F.round("score", 5).alias("score"), F.lit("inferred").alias("match_type"))
 
 
-def _labelled(spark: SparkSession, d: str, keys=None, scored: DataFrame | None = None) -> DataFrame:
+def _labelled(spark: SparkSession, d: str, scored: DataFrame | None = None) -> DataFrame:
     """Candidate pairs labelled by the links both registries name, 1 where the reference says so."""
-    scored = _scored(spark, d, keys) if scored is None else scored
+    scored = _scored(spark, d) if scored is None else scored
     m = table(spark, d, "stg_mfr_facilities").select(F.trim("mfr_id").alias("mfr_id"), F.trim("existing_dhis2_id").alias("ref")).where("ref is not null").distinct()
     s = scored.select(F.trim("fid_a").alias("mfr_id"), F.trim("fid_b").alias("dhis2_id"), F.round("score", 6).alias("score"))
     return s.join(m, "mfr_id").withColumn("label", (F.col("ref") == F.col("dhis2_id")).cast("int"))
 
 
-def j02_label_join(spark: SparkSession, d: str, keys=None) -> DataFrame:
+def j02_label_join(spark: SparkSession, d: str) -> DataFrame:
     """Labels that are candidates too; the others are lost to calibration."""
     m = table(spark, d, "stg_mfr_facilities").select(F.trim("mfr_id").alias("mfr_id"), F.trim("existing_dhis2_id").alias("dhis2_id")).where("dhis2_id is not null").distinct()
-    a, b, pairs = _candidates(spark, d, keys)
-    c = scoring.hydrate(pairs, a, b, "rid", "rid", ["fid"]).select(F.trim("fid_a").alias("mfr_id"), F.trim("fid_b").alias("dhis2_id")).distinct()
+    c = _hydrated(*_sides(spark, d), columns=["fid"]).select(F.trim("fid_a").alias("mfr_id"), F.trim("fid_b").alias("dhis2_id")).distinct()
     return c.join(m, ["mfr_id", "dhis2_id"])
 
 
-def a13_threshold_sweep(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    s = scoring.threshold_sweep(_labelled(spark, d, keys))
+def a13_threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
+    s = scoring.threshold_sweep(_labelled(spark, d))
     return s.select(*[F.round(c, 6).alias(c) for c in ("threshold", "precision", "recall", "f1")], "tp", "fp", "fn", "tn")
 
 
-def a14_best_threshold(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    return scoring.best_threshold(a13_threshold_sweep(spark, d, keys))
+def a14_best_threshold(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.best_threshold(a13_threshold_sweep(spark, d))
 
 
-def a12_confusion(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    return _labelled(spark, d, keys).agg(*scoring.confusion(None, 0.8))
+def a12_confusion(spark: SparkSession, d: str) -> DataFrame:
+    return _labelled(spark, d).agg(*scoring.confusion(None, 0.8))
 
 
 def j10_topk_candidates(spark: SparkSession, d: str) -> DataFrame:
     """The five nearest names in the region of each facility without a reference, by sorted words."""
-    a, b = _sides(spark, d, _whole_keys)
+    a, b = _sides(spark, d)
     a = a.where(F.col("existing_dhis2_id").isNull() & (F.col("name") != "")).select(F.col("rid").alias("a_rid"), F.col("name").alias("name_a"), "region")
     b = b.where("name <> ''").select(F.col("rid").alias("b_rid"), F.col("fid").alias("uid"), F.col("name").alias("name_b"), "region", F.col("zone").alias("zone_b"), F.col("woreda").alias("woreda_b"))
     top = nearest.top_names(a, b, "region", "a_rid", "b_rid", "name_a", "name_b", nearest.TOKEN_SORT, words_sorted=True)
@@ -204,9 +211,9 @@ def j13_verified(spark: SparkSession, d: str) -> DataFrame:
     return _verified(spark, d).distinct()
 
 
-def c03_combined(spark: SparkSession, d: str, keys=None) -> DataFrame:
+def c03_combined(spark: SparkSession, d: str) -> DataFrame:
     v = _verified(spark, d).distinct().select("mfr_id", F.col("existing_dhis2_id").alias("dhis2_id"), "score", "match_source")
-    return registry.combine(v, p13_matches(spark, d, keys).drop("match_source"))
+    return registry.combine(v, p13_matches(spark, d).drop("match_source"))
 
 
 def j03_c05_canonical(spark: SparkSession, d: str) -> DataFrame:
@@ -230,7 +237,7 @@ def c04_unmapped_regions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c06_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    """Facilities of the left registry without any link, by type, as in its SQL. c06_unmatched_sides has both registries."""
+    """Facilities of the left registry without any link, by type. c06_unmatched_sides has both registries and regions."""
     m = table(spark, d, "stg_mfr_facilities")
     k = table(spark, d, "facility_linkage").where("dhis2_uid is not null")
     g = registry.unmatched(m, k, "mfr_id").where("facility_type is not null").groupBy("facility_type").agg(F.count("*").alias("n"))
@@ -247,41 +254,22 @@ def c06_unmatched_sides(spark: SparkSession, d: str) -> DataFrame:
     return by("region").unionByName(by("facility_type")).withColumn("review", (F.col("by") == "facility_type") & F.lower("value").contains("hospital"))
 
 
-def _c09(spark: SparkSession, d: str, best_of, letters) -> DataFrame:
+def c09_batch_linkage(spark: SparkSession, d: str) -> DataFrame:
+    """For each unlinked row the nearest of all names under the same cleaned place, with band and reason; no row is dropped."""
     m = table(spark, d, "stg_mfr_facilities").where(t.blank_to_null(F.col("existing_dhis2_id")).isNull()).distinct()
     u = table(spark, d, "stg_dhis2_facilities").distinct()
-    clean = lambda c: letters(t.clean_facility_name(F.col(c)))
+    clean = lambda c: scripts.romanise(t.clean_facility_name(F.col(c)))
     a = m.select("record_no", "mfr_id", t.normalize_geo(F.col("region")).alias("region_norm"), clean("facility_name").alias("name_a"))
-    b = u.select(F.col("record_no").alias("other"), F.col("dhis2_uid").alias("uid"), t.normalize_geo(F.regexp_replace("regional", "(?i)reg\\\\.", "region")).alias("region_norm"), clean("dhis2_name").alias("name_b"))
-    best = best_of(a.where("name_a <> ''"), b.where("name_b <> ''"))
-    out = m.select("record_no", "mfr_id").join(best, "record_no", "left").withColumn("confidence", t.confidence_band(F.col("score")))
+    b = u.select(F.col("record_no").alias("other"), F.col("dhis2_uid").alias("uid"), t.normalize_geo(F.regexp_replace("regional", r"(?i)reg\.", "region")).alias("region_norm"), clean("dhis2_name").alias("name_b"))
+    best = nearest.top_names(a.where("name_a <> ''"), b.where("name_b <> ''"), "region_norm", "record_no", "other", "name_a", "name_b", nearest.LEVENSHTEIN, k=1)
+    out = m.select("record_no", "mfr_id").join(best.select("record_no", "uid", "score"), "record_no", "left").withColumn("confidence", t.confidence_band(F.col("score")))
     return out.select("record_no", "mfr_id", F.when(F.col("confidence") != "none", F.col("uid")).alias("dhis2_uid"), "confidence", t.reason_text(F.col("score"), F.col("confidence")).alias("reason"))
 
 
-def c09_batch_linkage(spark: SparkSession, d: str) -> DataFrame:
-    """For each unlinked row the nearest name under the same cleaned place and phonetic key, as in its SQL, with band and reason;
-    no row is dropped. c09_whole_linkage searches the whole place."""
-
-    def best_of(a: DataFrame, b: DataFrame) -> DataFrame:
-        p = a.withColumn("sound", t.phonetic_key(F.col("name_a"))).join(b.withColumn("sound", t.phonetic_key(F.col("name_b"))), ["region_norm", "sound"])
-        p = p.withColumn("score", F.round(sim.levenshtein_similarity(F.col("name_a"), F.col("name_b")), 6))
-        return registry.row_number_top(p.select("record_no", "uid", "other", "score"), ["record_no"], [F.desc("score"), F.asc("other")])
-
-    return _c09(spark, d, best_of, _ascii)
-
-
-def c09_whole_linkage(spark: SparkSession, d: str) -> DataFrame:
-    """For each unlinked row the nearest of all names under the same cleaned place, with band and reason; no row is dropped."""
-    best_of = lambda a, b: nearest.top_names(a, b, "region_norm", "record_no", "other", "name_a", "name_b", nearest.LEVENSHTEIN, k=1).select("record_no", "uid", "other", "score")
-    return _c09(spark, d, best_of, lambda c: c)
-
-
-def c01_pipeline(spark: SparkSession, d: str, keys=None) -> DataFrame:
-    """The whole run at the default threshold, as in its SQL: candidates, scores, matches and their coverage.
-    c01_calibrated_pipeline takes the threshold from the labels."""
-    a, b = _sides(spark, d, keys)
-    s = _scored(spark, d, keys).withColumn("score", F.round("score", 6))
-    return _coverage(s.where("score >= 0.8"), a, b)
+def c01_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run: candidates, scores, the threshold calibrated by the labels, matches and their coverage."""
+    scored = cut(_scored(spark, d).select("fid_a", "fid_b", "score"), "scored")
+    return _coverage(_calibrated(spark, d, scored), *_sides(spark, d))
 
 
 def _coverage(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
@@ -295,71 +283,50 @@ def _coverage(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
 def _calibrated(spark: SparkSession, d: str, scored: DataFrame) -> DataFrame:
     """The scored pairs from the best threshold up, which is 0.8 only where no candidate has a label."""
     best = scoring.best_threshold(scoring.threshold_sweep(_labelled(spark, d, scored=scored)))
-    best = best.agg(F.coalesce(F.max("threshold"), F.lit(0.8)).alias("least"))
+    best = best.agg(F.coalesce(F.round(F.max("threshold"), 6), F.lit(0.8)).alias("least"))
     return scored.crossJoin(F.broadcast(best)).where(F.round("score", 6) >= F.col("least"))
 
 
-def c01_calibrated_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """The whole run: candidates, scores, the threshold calibrated by the labels, matches and their coverage."""
-    scored = cut(_scored(spark, d, _whole_keys).select("fid_a", "fid_b", "score"), "scored")
-    return _coverage(_calibrated(spark, d, scored), *_sides(spark, d, _whole_keys))
-
-
 def c08_subset_link(spark: SparkSession, d: str) -> DataFrame:
-    """The blocks of a second link for health centers only, as in its SQL. c08_subset_matches is the whole link."""
-    a, b = _sides(spark, d)
-    kind = F.lower(F.trim("facility_name")).like("%health center")
-    return blocking.block(a.where(kind), b.where(kind), ["region", "phonetic"], "rid", "rid")
-
-
-def c08_subset_matches(spark: SparkSession, d: str) -> DataFrame:
     """A second link for health centers only: candidates, scores and matches from the calibrated threshold up."""
-    a, b = (x.where(F.col("name").like("%health center")) for x in _sides(spark, d, _whole_keys))
-    pairs = blocking.candidates(a, b, "rid", "rid", phonetic="phonetic", region="region", sort_key="name")
-    s = scoring.lexical_score("name")(scoring.hydrate(pairs, a, b, "rid", "rid", ["fid", "name", "region", "woreda", "zone"]))
-    hits = _calibrated(spark, d, cut(s.select("fid_a", "fid_b", "score"), "scored"))
+    a, b = (x.where(F.col("name").like("%health center")) for x in _sides(spark, d))
+    hits = _calibrated(spark, d, cut(_score(a, b).select("fid_a", "fid_b", "score"), "scored"))
     return hits.select(F.col("fid_a").alias("mfr_id"), F.col("fid_b").alias("dhis2_id"), F.round("score", 5).alias("score"))
 
 
+def snk05_calibration_json(spark: SparkSession, d: str) -> DataFrame:
+    """The calibration curve as one JSON document: the best threshold and all rows of the sweep."""
+    return scoring.calibration_document(a13_threshold_sweep(spark, d))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        j02_label_join, j03_c05_canonical, j04_compound_block, j05_single_block, j05_phonetic_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
+        j02_label_join, j03_c05_canonical, j04_compound_block, j05_phonetic_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
         j11_j12_c02_split, j12_anti, j13_verified, j16_left_preserving, j17_a17_reduction, j20_candidate_json, g01_a11_features, g04_bigram_cosine, g06_a09_scored_pairs, g07_j09_embedding_top1,
-        g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c01_calibrated_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched, c06_unmatched_sides,
-        c08_subset_link, c08_subset_matches, c09_batch_linkage, c09_whole_linkage,
-    )
-}
-
-# the same over the keys of the survey, which DuckDB doesn't count alike
-QUERIES |= {
-    f"{f.__name__}_preprocessed": partial(f, keys=_whole_keys)
-    for f in (
-        j02_label_join, j04_compound_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j17_a17_reduction, g01_a11_features, g04_bigram_cosine,
-        g06_a09_scored_pairs, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c03_combined,
+        g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched, c06_unmatched_sides,
+        c08_subset_link, c09_batch_linkage, p08_no_region, p18_raw_region, snk05_calibration_json,
     )
 }
 
 # -- the same in SQL --------------------------------------------------------------------------------------------------
 
 
-def _asc(e: str) -> str:
-    return rf"regexp_replace({e}, '[^\x00-\x7F]', '?', 'g')"
-
-
 def _side(src: str) -> str:
     region = "region"
     for e in t.REGION_ENDINGS:
         region = f"replace({region}, {tq.q(e)}, '')"
     region = f"CASE trim({region}) " + " ".join(f"WHEN {tq.q(a)} THEN {tq.q(b)}" for a, b in t.REGION_FIXES.items()) + f" ELSE trim({region}) END"
-    return f"(SELECT * REPLACE ({region} AS region), {tq.sql_phonetic('name')} AS phonetic FROM (SELECT *, {_asc(tq.sql_normalize('facility_name'))} AS name FROM ({src})))"
+    steps = f"(SELECT *, {tq.sql_expand(tq.sql_transliterate('facility_name'))} AS expanded FROM ({src}))"
+    steps = f"(SELECT *, {tq.sql_normalize('expanded')} AS normal FROM {steps})"
+    return f"(SELECT * REPLACE ({region} AS region), region AS region_raw, {tq.sql_phonetic('name')} AS phonetic FROM (SELECT *, {tq.sql_romanise('normal')} AS name FROM {steps}))"
 
 
 _BASE = f"""a AS MATERIALIZED {_side('SELECT DISTINCT record_no AS rid, mfr_id AS fid, facility_name, region, woreda, zone, existing_dhis2_id FROM stg_mfr_facilities')},
 b AS MATERIALIZED {_side('SELECT DISTINCT record_no AS rid, dhis2_uid AS fid, dhis2_name AS facility_name, regional AS region, wereda AS woreda, zonal AS zone FROM stg_dhis2_facilities')}"""
-_RANKS = "ranks AS MATERIALIZED (SELECT name, dense_rank() OVER (ORDER BY name) AS r FROM (SELECT name FROM a UNION SELECT name FROM b))"
+_RANKS = "ranks AS MATERIALIZED (SELECT name, dense_rank() OVER (ORDER BY name) AS r FROM (SELECT name FROM a UNION SELECT name FROM b) WHERE name <> '')"
 _NEAR = "SELECT a.rid AS a_rid, b.rid AS b_rid FROM a JOIN ranks x ON a.name = x.name JOIN ranks y ON y.r BETWEEN x.r - 1 AND x.r + 1 JOIN b ON b.name = y.name AND b.region = a.region"
-_BLOCK = "SELECT a.rid AS a_rid, b.rid AS b_rid FROM a JOIN b ON a.region = b.region AND a.phonetic = b.phonetic"
+_BLOCK = "SELECT a.rid AS a_rid, b.rid AS b_rid FROM a JOIN b ON a.region = b.region AND a.phonetic = b.phonetic AND a.name <> '' AND b.name <> ''"
 _CAND = f"{_BASE}, {_RANKS}, cand AS MATERIALIZED ({_BLOCK} UNION {_NEAR})"
 _HYD = f"{_CAND}, h AS (SELECT a_rid, b_rid, a.fid AS fid_a, b.fid AS fid_b, a.name AS na, b.name AS nb, a.region AS ra, b.region AS rb, a.woreda AS wa, b.woreda AS wb, a.zone AS za, b.zone AS zb FROM cand JOIN a ON a.rid = a_rid JOIN b ON b.rid = b_rid)"
 _LEV = "CASE WHEN greatest(length(na), length(nb)) > 0 THEN 1 - levenshtein(na, nb)::DOUBLE / greatest(length(na), length(nb)) ELSE 0 END"
@@ -368,10 +335,12 @@ _EXACT = "coalesce((lower(trim({0}a)) = lower(trim({0}b)))::INT::DOUBLE, 0)"
 
 ORACLE = {
     "j04_compound_block": f"WITH {_BASE} {_BLOCK}",
-    "j05_single_block": f"WITH {_BASE} SELECT a.rid AS a_rid, b.rid AS b_rid FROM a JOIN b ON a.name = b.name WHERE a.name <> ''",
+    "j05_phonetic_block": f"WITH {_BASE} SELECT a.rid AS a_rid, b.rid AS b_rid FROM a JOIN b ON a.phonetic = b.phonetic WHERE a.name <> '' AND b.name <> ''",
+    "p18_raw_region": f"WITH {_BASE} SELECT rid, region_raw, region FROM a",
+    "p08_no_region": f"""WITH {_BASE}, {_RANKS} SELECT a.rid AS a_rid, b.rid AS b_rid FROM a JOIN b ON a.phonetic = b.phonetic WHERE a.name <> '' AND b.name <> ''
+      UNION {_NEAR.replace(' AND b.region = a.region', '')}""",
     "j06_sorted_neighbourhood": f"WITH {_BASE}, {_RANKS} {_NEAR}",
-    "j07_neighbourhood_anywhere": f"""WITH {_BASE}, ranks AS MATERIALIZED (SELECT name, dense_rank() OVER (ORDER BY name) AS r FROM (SELECT name FROM a UNION SELECT name FROM b) WHERE name <> '')
-      {_NEAR.replace(' AND b.region = a.region', '')}""",
+    "j07_neighbourhood_anywhere": f"WITH {_BASE}, {_RANKS} {_NEAR.replace(' AND b.region = a.region', '')}",
     "j08_candidates_union": f"WITH {_CAND} SELECT * FROM cand",
     "j17_a17_reduction": f"""WITH {_CAND}, n AS (SELECT (SELECT count(*) FROM a) AS l, (SELECT count(*) FROM b) AS r, (SELECT count(*) FROM cand) AS c)
       SELECT l AS left_rows, r AS right_rows, c AS candidate_pairs, l * r AS possible_pairs, round(100 * (1 - c / (l * r)), 6) AS reduction_pct FROM n""",
@@ -395,7 +364,6 @@ ORACLE = {
     "c04_unmapped_regions": "SELECT DISTINCT region FROM stg_mfr_facilities WHERE region NOT IN ('Tase Fisharu Region', 'Kechipa Region', 'Logida Region', 'Semene Region', 'Retoreje Region', 'Gechunu Region')",
     "c06_unmatched": """SELECT facility_type, count(*) AS n, facility_type IN ('General Hospital', 'Referral Hospital', 'Primary Hospital') AS review FROM stg_mfr_facilities m
       WHERE facility_type IS NOT NULL AND NOT EXISTS (SELECT 1 FROM facility_linkage k WHERE k.mfr_id = m.mfr_id AND dhis2_uid IS NOT NULL) GROUP BY 1""",
-    "c08_subset_link": f"WITH {_BASE} {_BLOCK} WHERE lower(trim(a.facility_name)) LIKE '%health center' AND lower(trim(b.facility_name)) LIKE '%health center'",
 }
 _GRAMS = "flatten(list_transform(list_filter(string_split({0}, ' '), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr(' ' || w || ' ', i::BIGINT, 2))))"
 _COS = f"""names AS MATERIALIZED (SELECT DISTINCT na, nb FROM h),
@@ -411,6 +379,7 @@ _SWEEP = f"""{_LAB}, sweep AS (SELECT t, count(*) FILTER (score >= t AND label =
   FROM lab, (SELECT 0.5::DOUBLE + i * ((0.5::DOUBLE + 0.01::DOUBLE) - 0.5::DOUBLE) AS t FROM range(50) r(i)) GROUP BY t),
 pr AS (SELECT *, tp / (tp + fp + 1e-10) AS p, tp / (tp + fn + 1e-10) AS r FROM sweep),
 full_sweep AS (SELECT round(t, 6) AS threshold, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r + 1e-10), 6) AS f1, tp, fp, fn, tn FROM pr)"""
+_BEST = "best AS (SELECT coalesce(max(threshold), 0.8) AS least FROM (SELECT threshold FROM full_sweep ORDER BY f1 DESC, threshold LIMIT 1))"
 _P13 = f"WITH {_SCORE} SELECT fid_a AS mfr_id, fid_b AS dhis2_id, round(score, 5) AS score, 'inferred' AS match_type FROM s WHERE round(score, 6) >= 0.8"
 
 ORACLE |= {
@@ -424,13 +393,19 @@ ORACLE |= {
     "c03_combined": f"""WITH m AS ({_P13}), u AS (SELECT DISTINCT dhis2_uid FROM stg_dhis2_facilities)
       SELECT mfr_id, existing_dhis2_id AS dhis2_id, 1.0::DOUBLE AS score, 'verified' AS match_source, NULL AS match_type FROM (SELECT DISTINCT record_no, mfr_id, existing_dhis2_id, facility_name FROM stg_mfr_facilities) JOIN u ON dhis2_uid = existing_dhis2_id
       UNION ALL SELECT mfr_id, dhis2_id, score, 'inferred', match_type FROM m""",
-    "c01_pipeline": f"""WITH {_SCORE}, n AS (SELECT count(*) AS total, count(DISTINCT fid_a) AS ma, count(DISTINCT fid_b) AS mb FROM s WHERE round(score, 6) >= 0.8)
+    "c01_pipeline": f"""WITH {_SWEEP}, {_BEST}, n AS (SELECT count(*) AS total, count(DISTINCT fid_a) AS ma, count(DISTINCT fid_b) AS mb FROM s, best WHERE round(score, 6) >= least)
       SELECT total, ma AS mfr_matched, mb AS dhis2_matched, printf('%.1f%%', 100.0 * ma / (SELECT count(DISTINCT fid) FROM a)) AS mfr_coverage, printf('%.1f%%', 100.0 * mb / (SELECT count(DISTINCT fid) FROM b)) AS dhis2_coverage FROM n""",
 }
-_GEO_B = tq.sql_geo(r"regexp_replace(regional, 'reg\\.', 'region', 'gi')")
-ORACLE["c09_batch_linkage"] = rf"""WITH m AS MATERIALIZED (SELECT DISTINCT record_no, mfr_id, {tq.sql_geo('region')} AS g, {_asc(tq.sql_clean('facility_name'))} AS na FROM stg_mfr_facilities WHERE coalesce(regexp_matches(existing_dhis2_id, '^[\s\p{{Z}}]*$'), true)),
-  u AS MATERIALIZED (SELECT DISTINCT record_no AS other, dhis2_uid AS uid, {_GEO_B} AS g, {_asc(tq.sql_clean('dhis2_name'))} AS nb FROM stg_dhis2_facilities),
-  p AS (SELECT m.record_no, uid, other, round({_LEV}, 6) AS score FROM m JOIN u ON m.g = u.g AND {tq.sql_phonetic('na')} = {tq.sql_phonetic('nb')} WHERE na <> '' AND nb <> ''),
+_SUBSET = f"WITH {_SWEEP}, {_BEST} SELECT fid_a AS mfr_id, fid_b AS dhis2_id, round(score, 5) AS score FROM s, best WHERE round(score, 6) >= least"
+for _x in "ab":
+    # the keys of the subset only
+    _SUBSET = _SUBSET.replace(f"{_x} AS MATERIALIZED (SELECT * REPLACE", f"{_x} AS MATERIALIZED (SELECT * FROM (SELECT * REPLACE", 1)
+_SUBSET = _SUBSET.replace("FROM stg_mfr_facilities)))))", "FROM stg_mfr_facilities))))) WHERE name LIKE '%health center')", 1).replace("FROM stg_dhis2_facilities)))))", "FROM stg_dhis2_facilities))))) WHERE name LIKE '%health center')", 1)
+ORACLE["c08_subset_link"] = _SUBSET
+_GEO_B = tq.sql_geo(r"regexp_replace(regional, 'reg\.', 'region', 'gi')")
+ORACLE["c09_batch_linkage"] = rf"""WITH m AS MATERIALIZED (SELECT DISTINCT record_no, mfr_id, {tq.sql_geo('region')} AS g, {tq.sql_romanise(tq.sql_clean('facility_name'))} AS na FROM stg_mfr_facilities WHERE coalesce(regexp_matches(existing_dhis2_id, '^[\s\p{{Z}}]*$'), true)),
+  u AS MATERIALIZED (SELECT DISTINCT record_no AS other, dhis2_uid AS uid, {_GEO_B} AS g, {tq.sql_romanise(tq.sql_clean('dhis2_name'))} AS nb FROM stg_dhis2_facilities),
+  p AS (SELECT m.record_no, uid, other, round({_LEV}, 6) AS score FROM m JOIN u ON m.g = u.g WHERE na <> '' AND nb <> ''),
   best AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY record_no ORDER BY score DESC, other) = 1),
   o AS (SELECT m.record_no, mfr_id, uid, score, CASE WHEN score >= 0.9 THEN 'high' WHEN score >= 0.8 THEN 'medium' WHEN score >= 0.7 THEN 'low' ELSE 'none' END AS confidence FROM m LEFT JOIN best ON best.record_no = m.record_no)
   SELECT record_no, mfr_id, CASE WHEN confidence <> 'none' THEN uid END AS dhis2_uid, confidence, CASE WHEN score IS NULL THEN 'No candidate in the same region'

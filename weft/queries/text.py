@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.functions import scripts
 from weft.functions import text as t
 from weft.session import table
 
@@ -117,6 +118,18 @@ def sql_normalize(c: str) -> str:
     return rf"trim(regexp_replace(regexp_replace({out}, '[.,\-/():]', ' ', 'g'), '{WS}', ' ', 'g'))"
 
 
+def sql_romanise(c: str) -> str:
+    out = c
+    for xs, v in scripts.rows():
+        if v:
+            out = rf"regexp_replace({out}, '([{xs}])', '\1{v}', 'g')"
+    own, consonants, bare = scripts.letters()
+    out = f"translate({out}, '{own + bare}', '{consonants}')"
+    for one, two in scripts.DOUBLE.items():
+        out = f"replace({out}, '{one}', '{two}')"
+    return out
+
+
 def sql_soundex(c: str) -> str:
     """Soundex by rewriting: H and W fall out after the first letter, letters become digits, runs shrink, vowels go."""
     s = rf"regexp_replace(upper({c}), '[^A-Z]', 'A', 'g')"
