@@ -4,15 +4,16 @@ Every spelling of an entry (its name, short name, and the orders and words its p
 all strings that are left when up to `edits` letters are taken out of it. A value is looked up under its own such
 strings, so any entry within that edit distance meets it without a scan of the list. The meetings are ranked by weighted
 Damerau-Levenshtein distance, then by the entry's frequency in the reference; two different entries that rank alike are
-no answer. The dictionary is broadcast while its entries number at most BROADCAST_ENTRIES; a longer list is joined on
-the same strings.
+no answer. The dictionary is broadcast while its strings, counted before anything is built, number at most
+BROADCAST_STRINGS (so its size is known); a larger one is joined on the same strings, with the same answers.
 
-Nulls and blanks mean no entry and give no row. Values are looked up whole, however long; one longer than any
-spelling plus the edits cannot meet one and isn't cut up. Repeated values cost one look-up per batch.
+Nulls and blanks mean no entry and give no row. Spellings and values are taken whole, however long; a value longer than
+the longest spelling plus the edits cannot meet one and isn't cut up. Repeated values cost one look-up per batch.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.textkit import damerau, deletes, latin, plain_edits
 
-BROADCAST_ENTRIES = 20_000
+BROADCAST_STRINGS = 2_000_000  # about 200 MB in a worker
 
 # fixed values: words that name the level or the office, not the place
 LEVEL_WORDS = {
@@ -86,8 +87,7 @@ class Dictionary:
         self.seen: dict[str, int] = {}
 
     def allowed(self, term: str) -> int:
-        """Short forms are taken as written, short names with one edit."""
-        return min(self.edits, 0 if len(term) <= 3 else 1 if len(term) <= 4 else 2)
+        return allowed(term, self.edits)
 
     def meet(self, s: str) -> set[str]:
         if len(s) > self.longest + self.edits:
@@ -122,16 +122,46 @@ def rank(s: str, met: list[tuple[str, int, float]], allowed) -> int:
     return order[0][1]
 
 
+def allowed(term: str, edits: int) -> int:
+    """Short forms are taken as written, short names with one edit."""
+    return min(edits, 0 if len(term) <= 3 else 1 if len(term) <= 4 else 2)
+
+
+def strings_of(name: str, short: str | None, edits: int) -> int:
+    """How many strings an entry has in the dictionary, at most."""
+    return sum(sum(math.comb(len(t), k) for k in range(allowed(t, edits) + 1)) for t in spellings(name, short))
+
+
 def entries_of(reference: DataFrame, id_col: str, name_col: str, short_col: str, freq_col: str | None = None) -> DataFrame:
     return reference.select(
         F.col(id_col).cast("int").alias("id"), F.col(name_col).alias("name"), F.col(short_col).alias("short"), (F.col(freq_col).cast("double") if freq_col else F.lit(1.0)).alias("freq")
     ).where("id is not null and name is not null")
 
 
+def dictionary_strings(entries: DataFrame, edits: int = 2) -> int:
+    """The number of strings the dictionary of the entries holds, counted where the entries are."""
+
+    @F.pandas_udf("bigint")
+    def strings(names: pd.Series, shorts: pd.Series) -> pd.Series:
+        return pd.Series([strings_of(n, s, edits) for n, s in zip(names, shorts)], dtype="int64")
+
+    return entries.select(strings("name", "short").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def typed_frequencies(values: DataFrame, value: str, entries: DataFrame) -> DataFrame:
+    """The entries with, as their frequency, how often their name or short name was typed as it stands, whatever its case."""
+    plain = lambda c: F.lower(F.trim(c))
+    typed = values.where(F.col(value).isNotNull()).groupBy(plain(F.col(value)).alias("t")).agg(F.count("*").alias("n"))
+    ways = entries.select("id", F.explode(F.array_distinct(F.array(plain(F.col("name")), plain(F.coalesce("short", "name"))))).alias("t"))
+    # the entries are the short side; the adaptive plan broadcasts them where they are small
+    n = ways.join(typed, "t").groupBy("id").agg(F.sum("n").cast("double").alias("freq"))
+    return entries.drop("freq").join(n, "id", "left").select("id", "name", "short", F.coalesce("freq", F.lit(0.0)).alias("freq"))
+
+
 def map_values(values: DataFrame, value: str, entries: DataFrame, *, edits: int = 2, out: str = "entry_id") -> DataFrame:
     """values with `out`: the id of the entry each value means, 0 for none, no row for null or blank values."""
     rows = values.where(F.length(F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)\s", "")) > 0)
-    if entries.limit(BROADCAST_ENTRIES + 1).count() > BROADCAST_ENTRIES:
+    if dictionary_strings(entries, edits) > BROADCAST_STRINGS:
         return _map_by_join(rows, value, entries, edits, out)
     known = Dictionary([(r["id"], r["name"], r["short"], r["freq"]) for r in entries.toLocalIterator()], edits)
     held = values.sparkSession.sparkContext.broadcast(known)
@@ -162,17 +192,17 @@ def _map_by_join(rows: DataFrame, value: str, entries: DataFrame, edits: int, ou
     def squeezed(v: pd.Series) -> pd.Series:
         return v.map(squeeze)
 
-    longest = edits + 64
-
     @F.pandas_udf("array<string>")
     def looked(v: pd.Series) -> pd.Series:
-        return pd.Series([sorted({d for f in forms(s) for d in deletes(f, edits)}) if len(s) <= longest else [] for s in v])
+        return pd.Series([sorted({d for f in forms(s) for d in deletes(f, edits)}) if len(s) <= longest + edits else [] for s in v])
 
     @F.pandas_udf("int")
     def best(s: pd.Series, met: pd.Series) -> pd.Series:
         return pd.Series([rank(a, [(x["term"], x["id"], x["freq"]) for x in m], probe.allowed) for a, m in zip(s, met)], dtype="int32")
 
-    terms = entries.select("id", "freq", F.explode(spelt("name", "short")).alias("term")).where(F.length("term") <= 64)
+    terms = entries.select("id", "freq", F.explode(spelt("name", "short")).alias("term"))
+    # one number: the length of the longest spelling, which a value may exceed by the edits
+    longest = terms.agg(F.coalesce(F.max(F.length("term")), F.lit(0))).first()[0]
     terms = terms.select("id", "freq", "term", F.explode(under("term")).alias("d"))
     distinct = rows.select(F.col(value).alias("v")).distinct().withColumn("s", squeezed("v"))
     met = distinct.select("s").distinct().withColumn("d", F.explode(looked("s"))).join(terms, "d").select("s", "id", "freq", "term").distinct()

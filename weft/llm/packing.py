@@ -70,7 +70,8 @@ def pack(sizes: DataFrame, capacity: int, *, rows: int, shard_rows: int = 1 << 1
         base = int(pdf["shard"].iloc[0]) << 40
         return pd.DataFrame({"doc_id": ids[at], "piece": piece.astype("int32"), "start_token": piece * capacity, "tokens": size, "container": base + np.array(where + [0] * (len(at) - real), dtype=np.int64)})
 
-    return s.groupBy("shard").applyInPandas(shard, f"doc_id {kind}, piece int, start_token bigint, tokens bigint, container bigint")
+    # shards are small in bytes and long in work: each is a task of its own, which the engine would else merge by bytes
+    return s.repartition(shards, "shard").groupBy("shard").applyInPandas(shard, f"doc_id {kind}, piece int, start_token bigint, tokens bigint, container bigint")
 
 
 def fill_report(packed: DataFrame, capacity: int) -> DataFrame:

@@ -63,6 +63,7 @@ def _places(spark: SparkSession, d: str) -> DataFrame:
     for name, column, level in PLACES:
         rows = table(spark, d, name).select("record_no", F.col(column).alias("value")).distinct()
         entries = canonical.entries_of(geo.where(F.col("geo_level") == level), "geo_id", "geo_name", "short_name")
+        entries = canonical.typed_frequencies(table(spark, d, name), column, entries)
         out.append(canonical.map_values(rows, "value", entries, out="geo_id").withColumn("field_name", F.lit(f"{name}.{column}")))
     return out[0].unionByName(out[1]).unionByName(out[2])
 
@@ -87,12 +88,12 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p8_packing(spark, d), CAPACITY)
 
 
-def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs, target = table(spark, d, "documents"), table(spark, d, "mix_target")
     sized = cut(mixing.measured(docs), "measured")
     weights = mixing.calibrate(sized, target)
     cells = spark.createDataFrame(weights, "source string, lang string, topic int, tokens bigint, weight double")
-    return mixing.draw(sized, cells, rows=docs.count()), target
+    return mixing.draw(sized, cells, rows=docs.count()), target, sized
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -100,7 +101,14 @@ def p9_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.shares_reached(*_mixed(spark, d))
+    return mixing.shares_reached(*_mixed(spark, d)[:2])
+
+
+def p9_margins(spark: SparkSession, d: str) -> DataFrame:
+    """The shares of languages and topics, of what could be drawn and of what was."""
+    drawn, target, sized = _mixed(spark, d)
+    drawn, may = cut(drawn, "drawn"), sized.where("n_tokens > 0").join(F.broadcast(target.select("source")), "source", "left_semi")  # a list of sources
+    return mixing.margins_reached(may, drawn, "lang").unionByName(mixing.margins_reached(may, drawn, "topic"))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -124,6 +132,7 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
     for level in ("region", "zone"):
         typed = rows.where(F.col(level).isNotNull()).select(F.col(level).alias("value")).distinct()
         entries = canonical.entries_of(geo.where(F.col("geo_level") == level), "geo_id", "geo_name", "short_name")
+        entries = canonical.typed_frequencies(table(spark, d, name), column, entries)
         found = cut(canonical.map_values(typed, "value", entries, out="geo_id").where("geo_id > 0").select(F.col("value").alias(level), F.col("geo_id").alias(f"{level}_id")), f"name-{level}s")
         rows = rows.join(found, level, "left")
     parents = geo.where("geo_level = 'zone'").select(F.col("geo_id").alias("zone_id"), F.col("parent_geo_id").alias("parent_id"))
@@ -196,4 +205,4 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return names.linked_pairs(_name_groups(spark, d)).select(F.col("left_key").alias("mfr_id"), F.col("right_key").alias("dhis2_uid"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p8_packing, p8_report, p9_mix, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_links, p3_found, p3_bundles, p5_found, p5_sizes, p6_found, p6_misses, p8_packing, p8_report, p9_mix, p9_shares, p9_margins, p10_found)}
