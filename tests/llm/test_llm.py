@@ -115,7 +115,7 @@ def test_map_values_by_broadcast_and_by_join_agree(spark, monkeypatch):
     ref = canonical.entries_of(spark.createDataFrame(GEO, "geo int, name string, short string"), "geo", "name", "short")
     want = {0: 1, 3: 2, 4: 0, 5: 11, 6: 1, 7: 1, 8: 3, 9: 0}
     assert {r.i: r.entry_id for r in canonical.map_values(df, "value", ref).collect()} == want
-    monkeypatch.setattr(canonical, "BROADCAST_ENTRIES", 2)
+    monkeypatch.setattr(canonical, "BROADCAST_STRINGS", 2)
     assert {r.i: r.entry_id for r in canonical.map_values(df, "value", ref).collect()} == want
     assert canonical.map_values(df.limit(0), "value", ref).count() == 0
     assert {r.value: r.n for r in canonical.misses(canonical.map_values(df, "value", ref), F.col("value")).collect()}["nothing here"] == 1

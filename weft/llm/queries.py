@@ -126,14 +126,16 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
     u = table(spark, d, "stg_dhis2_facilities").select(
         F.lit(1).alias("side"), strip(F.col("dhis2_uid")).alias("key"), F.col("dhis2_name").alias("name"), F.col("facilitytype").alias("type"), F.col("regional").alias("region"), F.col("zonal").alias("zone"), F.col("wereda").alias("place")
     )
-    rows = m.unionByName(u).where("key <> ''")
+    every = m.unionByName(u)
+    rows = every.where("key <> ''")
     geo = table(spark, d, "geo_reference")
-    # places are looked up once for each way they are typed
+    # places are looked up once for each way they are typed, in one pass over the rows
+    ways = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(level).alias("value")) for level in ("region", "zone")]))
+    typed = cut(every.select(ways.alias("w")).select("w.*").where("value is not null").distinct(), "name-places")
     for level in ("region", "zone"):
-        typed = rows.where(F.col(level).isNotNull()).select(F.col(level).alias("value")).distinct()
         entries = canonical.entries_of(geo.where(F.col("geo_level") == level), "geo_id", "geo_name", "short_name")
-        entries = canonical.typed_frequencies(table(spark, d, name), column, entries)
-        found = cut(canonical.map_values(typed, "value", entries, out="geo_id").where("geo_id > 0").select(F.col("value").alias(level), F.col("geo_id").alias(f"{level}_id")), f"name-{level}s")
+        found = canonical.map_values(typed.where(F.col("level") == level).select("value"), "value", entries, out="geo_id")
+        found = cut(found.where("geo_id > 0").select(F.col("value").alias(level), F.col("geo_id").alias(f"{level}_id")), f"name-{level}s")
         rows = rows.join(found, level, "left")
     parents = geo.where("geo_level = 'zone'").select(F.col("geo_id").alias("zone_id"), F.col("parent_geo_id").alias("parent_id"))
     rows = rows.join(F.broadcast(parents), "zone_id", "left")  # a fixed list of zones
