@@ -79,6 +79,31 @@ def test_ear_clip_covers_a_concave_ring():
     assert len(near.ear_clip(np.vstack([ring, ring[:1], ring[:1]]))) == 3
 
 
+def _covered(tri):
+    return sum(abs((t[1, 0] - t[0, 0]) * (t[2, 1] - t[0, 1]) - (t[1, 1] - t[0, 1]) * (t[2, 0] - t[0, 0])) / 2 for t in tri)
+
+
+def test_ear_clip_with_holes_and_crossing_rings():
+    square = np.array([[0, 0], [10, 0], [10, 10], [0, 10]], float)
+    holes = [np.array([[1, 1], [1, 3], [3, 3], [3, 1]], float), np.array([[6, 6], [8, 6], [7, 8]], float)]
+    tri = near.ear_clip(square, holes)
+    assert math.isclose(_covered(tri), 100 - 4 - 2)
+    inside = lambda x, y: near.in_triangles(np.array([[x, y]] * len(tri), float), tri).any()
+    assert inside(5, 5) and inside(0.5, 9) and not inside(2, 2) and not inside(7, 7) and inside(1, 2)
+    # a bow tie crosses itself; corners on a straight line cost nothing
+    assert len(near.ear_clip(np.array([[0, 0], [2, 2], [2, 0], [0, 2.5]], float))) == 0
+    assert math.isclose(_covered(near.ear_clip(np.array([[0, 0], [1, 0], [2, 0], [2, 1], [2, 2], [0, 2]], float))), 4)
+
+
+@given(st.lists(st.floats(0.2, 5), min_size=3, max_size=14))
+@settings(max_examples=60, deadline=None)
+def test_ear_clip_covers_star_shaped_rings(radii):
+    turn = 2 * np.pi * np.arange(len(radii)) / len(radii)
+    ring = np.stack([np.array(radii) * np.cos(turn), np.array(radii) * np.sin(turn)], axis=1)
+    x, y = ring.T
+    assert math.isclose(_covered(near.ear_clip(ring)), abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2, rel_tol=1e-6)
+
+
 def _inside(p, ring):
     n, c = len(ring), False
     for i in range(n):

@@ -119,3 +119,9 @@ def vector_cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     below = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(below > 0, dot(a, b) / below)
+
+
+def dice_list(a: list[str], b: list[str]) -> list[float]:
+    """The share of equal bigrams of each pair of texts; texts without any are alike only if they are equal."""
+    grams = lambda t: {t[i : i + 2] for i in range(len(t) - 1)}
+    return [2 * len(x & y) / (len(x) + len(y)) if x or y else float(p == q) for p, q in zip(a, b) for x, y in ((grams(p), grams(q)),)]

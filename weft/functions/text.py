@@ -42,11 +42,35 @@ NAME_SUFFIXES = [
 ]
 REGION_ENDINGS = [" Regional Health Bureau", " Region", " City Administration"]
 REGION_FIXES = {"Oromiya": "Oromia", "SWE": "South West Ethiopia", "Benishangul-Gumuz": "Benishangul Gumuz"}
-REGIONS = [
-    "Harari", "Tigray", "Oromia", "Sidama", "South West Ethiopia", "Gambella", "Benishangul-Gumuz", "Afar", "Somali", "Amhara", "SNNP", "Dire Dawa", "Addis Ababa",
-]
-CITIES = {"Dire Dawa", "Addis Ababa"}
-BUREAU_SPELLINGS = {"Oromia": "Oromiya", "South West Ethiopia": "SWE", "Benishangul-Gumuz": "Benishangul Gumuz"}
+# fixed values: both registries' spellings of the regions, each with its key
+REGION_MAP = {
+    "Harari Region": "harari",
+    "Harari Regional Health Bureau": "harari",
+    "Tigray Region": "tigray",
+    "Tigray Regional Health Bureau": "tigray",
+    "Oromia Region": "oromia",
+    "Oromiya Regional Health Bureau": "oromia",
+    "Sidama Region": "sidama",
+    "Sidama Regional Health Bureau": "sidama",
+    "South West Ethiopia Region": "south west ethiopia",
+    "SWE Regional Health Bureau": "south west ethiopia",
+    "Gambella Region": "gambella",
+    "Gambella Regional Health Bureau": "gambella",
+    "Benishangul-Gumuz Region": "benishangul gumuz",
+    "Benishangul Gumuz Regional Health Bureau": "benishangul gumuz",
+    "Afar Region": "afar",
+    "Afar Regional Health Bureau": "afar",
+    "Somali Region": "somali",
+    "Somali Regional Health Bureau": "somali",
+    "Amhara Region": "amhara",
+    "Amhara Regional Health Bureau": "amhara",
+    "SNNP Region": "snnp",
+    "SNNP Regional Health Bureau": "snnp",
+    "Dire Dawa City Administration": "dire dawa",
+    "Dire Dawa Regional Health Bureau": "dire dawa",
+    "Addis Ababa City Administration": "addis ababa",
+    "Addis Ababa Regional Health Bureau": "addis ababa",
+}
 
 _FLAGS = "(?iuU)"
 
@@ -124,18 +148,8 @@ def normalize_region(c: Column) -> Column:
     return lookup_or_self(F.trim(out), REGION_FIXES)
 
 
-def region_map() -> dict[str, str]:
-    """Both registries' spellings of the regions, each to one key."""
-    out = {}
-    for r in REGIONS:
-        key = r.lower().replace("-", " ")
-        out[f"{r} City Administration" if r in CITIES else f"{r} Region"] = key
-        out[f"{BUREAU_SPELLINGS.get(r, r)} Regional Health Bureau"] = key
-    return out
-
-
 def canonical_region(c: Column) -> Column:
-    return lookup(c, region_map())
+    return lookup(c, REGION_MAP)
 
 
 def blank_to_null(c: Column) -> Column:

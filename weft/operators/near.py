@@ -9,7 +9,8 @@ on the edge two triangles or regions share comes out once per region.
 A node at the last level that still holds too many points is dealt in blocks of points by blocks of triangles, each
 pair of blocks once: no task grows with the crowd, and no pair is left out.
 
-Nulls: a point without id or position lies nowhere; a polygon of fewer than three distinct corners covers nothing.
+Nulls: a point without id or position lies nowhere; a polygon of fewer than three distinct corners, or one that crosses
+itself, covers nothing. Holes are no part of a polygon but for their edges.
 Repeated points of one id come out once per region. Either side may be empty.
 """
 
@@ -50,52 +51,76 @@ def _clean(ring: np.ndarray) -> np.ndarray:
     return ring[::-1] if area < 0 else ring
 
 
-def ear_clip(ring: np.ndarray) -> np.ndarray:
-    """The triangles (k, 3, 2) of one simple polygon."""
-    ring = _clean(np.asarray(ring, dtype=float).reshape(-1, 2))
-    left, out = list(range(len(ring))), []
-    while len(left) > 3:
-        p = ring[left]
-        turn = _cross(np.roll(p, 1, axis=0), p, np.roll(p, -1, axis=0))
-        for i in np.argsort(turn <= 0, kind="stable"):
-            if turn[i] <= 0:  # no convex corner is an ear: a crossing ring, cut what is left as a fan
-                out += [ring[[left[0], left[j], left[j + 1]]] for j in range(1, len(left) - 1)]
-                left = []
+def bridged(outer: np.ndarray, holes: list[np.ndarray]) -> np.ndarray:
+    """One ring of an outer ring and its holes, each tied in by a bridge walked both ways, from its rightmost corner to the
+    nearest corner of the ring to the right that it can see."""
+    ring = _clean(np.asarray(outer, dtype=float).reshape(-1, 2))
+    rest = [h for h in (_clean(np.asarray(h, dtype=float).reshape(-1, 2))[::-1] for h in holes) if len(h)]
+    for h in sorted(rest, key=lambda h: -h[:, 0].max()):
+        k = int(np.argmax(h[:, 0]))
+        m = h[k]
+        a, b = ring, np.roll(ring, -1, axis=0)
+        away = np.hypot(*(ring - m).T)
+        for j in np.argsort(np.where(ring[:, 0] >= m[0], away, np.inf), kind="stable"):
+            q = ring[j]
+            # the bridge must cross no side; sides that end at the corner itself don't count
+            ends = (a == q).all(1) | (b == q).all(1)
+            cross = (_cross(m, q, a) * _cross(m, q, b) < 0) & (_cross(a, b, m) * _cross(a, b, q) < 0)
+            if not (cross & ~ends).any():
+                ring = np.concatenate([ring[: j + 1], np.roll(h, -k, axis=0), m[None], ring[j:]])
                 break
-            a, b, c = p[i - 1], p[i], p[(i + 1) % len(p)]
-            others = np.delete(p, [i, (i - 1) % len(p), (i + 1) % len(p)], axis=0)
-            others = others[~((others == a).all(1) | (others == b).all(1) | (others == c).all(1))]
-            if not len(others) or not np.any((_cross(a, b, others) >= 0) & (_cross(b, c, others) >= 0) & (_cross(c, a, others) >= 0)):
-                out.append(np.array([a, b, c]))
-                left.pop(int(i))
-                break
-            if turn[i] == 0:
-                left.pop(int(i))
-                break
-        else:
-            out += [ring[[left[0], left[j], left[j + 1]]] for j in range(1, len(left) - 1)]
-            left = []
-        # corners on a straight line cover nothing and hide no ear
-        if len(left) > 3:
-            p = ring[left]
-            flat = _cross(np.roll(p, 1, axis=0), p, np.roll(p, -1, axis=0)) == 0
-            if flat.any() and len(left) - flat.sum() >= 3:
-                left = [v for v, f in zip(left, flat) if not f]
-    if len(left) == 3:
-        out.append(ring[left])
-    return np.array(out) if out else np.empty((0, 3, 2))
+    return ring
 
 
 def ear_clip_all(rings: np.ndarray) -> np.ndarray:
-    """The same for many convex rings with as many corners (m, n, 2) at once: in those every corner is an ear."""
+    """The triangles (m, n - 2, 3, 2) of many simple rings of n corners (m, n, 2), counter-clockwise, clipped together: in
+    each step every ring loses its first ear, a corner that turns left and whose triangle holds no other corner. A corner on
+    a straight line is clipped as an empty triangle; a ring without an ear crosses itself and gives not-a-number."""
     m, n, _ = rings.shape
-    left, out = list(range(n)), []
-    while len(left) > 3:
-        i = 1
-        out.append(rings[:, [left[i - 1], left[i], left[i + 1]]])
-        left.pop(i)
-    out.append(rings[:, left])
-    return np.stack(out, axis=1)
+    left = rings.astype(float)
+    out = np.full((m, max(n - 2, 0), 3, 2), np.nan)
+    ok = np.ones(m, bool)
+    for step in range(n - 2):
+        k = left.shape[1]
+        before, after, at = np.roll(left, 1, axis=1), np.roll(left, -1, axis=1), np.arange(m)
+        turn = _cross(before, left, after)
+        first = np.full(m, -1)
+        for c in range(k):
+            may = (first < 0) & (turn[:, c] > 0)
+            if k > 3 and may.any():
+                a, b, d = before[may, c, None], left[may, c, None], after[may, c, None]
+                p = left[may]
+                inside = (_cross(a, b, p) >= 0) & (_cross(b, d, p) >= 0) & (_cross(d, a, p) >= 0)
+                corner = (p == a).all(2) | (p == b).all(2) | (p == d).all(2)
+                may[may] = ~(inside & ~corner).any(axis=1)
+            first[may] = c
+            if (first >= 0).all():
+                break
+        # a flat corner goes only where nothing else can be cut
+        flat = (turn == 0).any(axis=1)
+        ok &= (first >= 0) | flat
+        first = np.where(first >= 0, first, np.argmax(turn == 0, axis=1))
+        out[:, step] = np.stack([before[at, first], left[at, first], after[at, first]], axis=1)
+        left = left[np.arange(k)[None, :] != first[:, None]].reshape(m, k - 1, 2)
+    out[~ok] = np.nan
+    return out
+
+
+def _area(x: np.ndarray) -> np.ndarray:
+    return np.abs(np.sum(x[..., 0] * np.roll(x[..., 1], -1, axis=-1) - x[..., 1] * np.roll(x[..., 0], -1, axis=-1), axis=-1)) / 2
+
+
+def ear_clip(ring: np.ndarray, holes: list[np.ndarray] = ()) -> np.ndarray:
+    """The triangles (k, 3, 2) of one polygon with its holes. One that crosses itself, whose triangles do not sum up to its
+    area, has none."""
+    ring = bridged(ring, list(holes))
+    if len(ring) < 3:
+        return np.empty((0, 3, 2))
+    tri = ear_clip_all(ring[None])[0]
+    area = _area(ring)
+    if np.isnan(tri).any() or abs(_area(tri).sum() - area) > 1e-9 * max(area, 1e-300):
+        return np.empty((0, 3, 2))
+    return tri[_area(tri) > 0]
 
 
 # -- hierarchy below a node -------------------------------------------------------------------------------------------
@@ -172,15 +197,16 @@ def _nodes(points: DataFrame, node_points: int) -> DataFrame:
     return tree.where(F.col("level") == LEVELS[0]).unionByName(below.join(full, ["level", "px", "py"], "left_semi").select(tree.columns))
 
 
-def _triangles(it: Iterator[pd.DataFrame], convex_sides: int, carry: list[str]) -> Iterator[pd.DataFrame]:
+def _triangles(it: Iterator[pd.DataFrame], sides: int, carry: list[str]) -> Iterator[pd.DataFrame]:
     for pdf in it:
-        if convex_sides:
-            rings = np.stack(pdf["ring"].to_list()) if len(pdf) else np.empty((0, 2 * convex_sides))
-            tri = ear_clip_all(rings.reshape(-1, convex_sides, 2))
+        if sides:
+            rings = np.stack(pdf["ring"].to_list()) if len(pdf) else np.empty((0, 2 * sides))
+            tri = ear_clip_all(rings.reshape(-1, sides, 2))
             each = np.full(len(pdf), tri.shape[1])
             tri = tri.reshape(-1, 3, 2)
         else:
-            cut_up = [ear_clip(np.asarray(r, dtype=float)) for r in pdf["ring"]]
+            inner = pdf["holes"] if "holes" in pdf else [[]] * len(pdf)
+            cut_up = [ear_clip(np.asarray(r, dtype=float), [np.asarray(h, dtype=float) for h in (hs if hs is not None else [])]) for r, hs in zip(pdf["ring"], inner)]
             each = np.array([len(e) for e in cut_up], dtype=int)
             tri = np.concatenate(cut_up) if cut_up else np.empty((0, 3, 2))
         flat = tri.reshape(-1, 6)
@@ -205,22 +231,22 @@ def _meet(pts: pd.DataFrame, tris: pd.DataFrame, carry: list[str]) -> pd.DataFra
 
 
 def containing_regions(
-    points: DataFrame, regions: DataFrame, *, carry: list[str] = (), convex_sides: int = 0, node_points: int = 4096, block_triangles: int = 1 << 15
+    points: DataFrame, regions: DataFrame, *, carry: list[str] = (), sides: int = 0, node_points: int = 4096, block_triangles: int = 1 << 15
 ) -> DataFrame:
     """(point_id, lon, lat, region_id, *carry): the regions each point lies in or on.
 
-    points: point_id string, lon, lat in degrees. regions: region_id string, ring array<double> of lon, lat in turn, and
-    the double columns to carry; rings do not cross themselves or the date line. convex_sides: set where all rings are
-    convex with so many corners.
+    points: point_id string, lon, lat in degrees. regions: region_id string, ring array<double> of lon, lat in turn, if need
+    be holes array<array<double>> of such rings, and the double columns to carry; rings do not cross the date line. sides: set
+    where all rings are simple, counter-clockwise, without holes and of so many corners; they are then clipped together.
     """
     carry = list(carry)
     pts = points.where("point_id is not null and lon between -180 and 180 and lat between -90 and 90").select("point_id", "lon", "lat").distinct()
     nodes = cut(_nodes(pts, node_points), "near-nodes")
     inner = nodes.select("level", "x", "y", "leaf")
 
-    tris = regions.where("region_id is not null and ring is not null").select("region_id", "ring", *carry)
+    tris = regions.where("region_id is not null and ring is not null").select("region_id", "ring", *(["holes"] if "holes" in regions.columns and not sides else []), *carry)
     tris = tris.mapInPandas(
-        lambda it: _triangles(it, convex_sides, carry), "region_id string, " + "".join(f"{c} double, " for c in carry) + ", ".join(f"t{i} double" for i in range(6))
+        lambda it: _triangles(it, sides, carry), "region_id string, " + "".join(f"{c} double, " for c in carry) + ", ".join(f"t{i} double" for i in range(6))
     )
     box = {"x": [F.least("t0", "t2", "t4"), F.greatest("t0", "t2", "t4")], "y": [F.least("t1", "t3", "t5"), F.greatest("t1", "t3", "t5")]}
     span = lambda a, k: (_cell(box[a][0], k), _cell(box[a][1], k))
@@ -278,6 +304,6 @@ def buffers(points: DataFrame, metres: float) -> DataFrame:
 def near_pairs(points: DataFrame, metres: float, *, node_points: int = 4096) -> DataFrame:
     """(id_a, id_b, metres), id_a < id_b: the points at most so far apart on the sphere. Not for the poles and the date line."""
     pts = points.where("point_id is not null and lon is not null and lat is not null").select("point_id", "lon", "lat").distinct()
-    hits = containing_regions(pts, buffers(pts, metres), carry=["clon", "clat"], convex_sides=4, node_points=node_points)
+    hits = containing_regions(pts, buffers(pts, metres), carry=["clon", "clat"], sides=4, node_points=node_points)
     far = haversine_m(F.col("lon"), F.col("lat"), F.col("clon"), F.col("clat"))
     return hits.where("point_id < region_id").withColumn("metres", far).where(F.col("metres") <= metres).groupBy(F.col("point_id").alias("id_a"), F.col("region_id").alias("id_b")).agg(F.min("metres").alias("metres"))

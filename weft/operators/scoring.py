@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weft.functions import similarity as sim
@@ -117,3 +118,24 @@ def calibration_document(sweep: DataFrame) -> DataFrame:
     curve = F.sort_array(F.collect_list(F.struct("threshold", "precision", "recall", "f1", "tp", "fp", "fn", "tn")))
     best = F.max_by("threshold", F.struct("f1", (-F.col("threshold")).alias("low")))
     return sweep.agg(F.to_json(F.struct(best.alias("optimal_threshold"), curve.alias("all_results"))).alias("document"))
+
+
+def batched(pairs: DataFrame, scorer: Callable[[list[str], list[str]], list[float]], a: str, b: str, *, batch: int = 64, out: str = "score") -> DataFrame:
+    """Pairs with the scores of a model that takes lists of texts, in blocks of at most `batch` pairs of a task, whatever the
+    size of the engine's own batches. Nulls are scored as empty texts. Rows keep all their columns."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            x, y = pdf[a].fillna("").tolist(), pdf[b].fillna("").tolist()
+            score = [s for k in range(0, len(x), batch) for s in scorer(x[k : k + batch], y[k : k + batch])]
+            yield pdf.assign(**{out: pd.Series(score, index=pdf.index, dtype=float)})
+
+    kept = ", ".join(f"`{n}` {k}" for n, k in pairs.drop(out).dtypes)
+    return pairs.drop(out).mapInPandas(run, f"{kept}, {out} double")
+
+
+def progress(scored: DataFrame, name: str = "scored", score: str = "score") -> tuple[DataFrame, Observation]:
+    """The same rows and an observation that tells, once an action on them has ended, how many were scored: a counter that
+    costs no job of its own."""
+    seen = Observation(name)
+    return scored.observe(seen, F.count("*").alias("pairs"), F.count(score).alias("scored"), F.max(score).alias("best")), seen

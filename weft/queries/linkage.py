@@ -299,13 +299,46 @@ def snk05_calibration_json(spark: SparkSession, d: str) -> DataFrame:
     return scoring.calibration_document(a13_threshold_sweep(spark, d))
 
 
+def w06_scored_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Candidate names scored in blocks of 64 pairs, as a model would be asked; here by their share of equal bigrams."""
+    return scoring.batched(_pairs(*_sides(spark, d)), sim.dice_list, "name_a", "name_b").select(F.col("__block").alias("region"), "name_a", "name_b", F.round("score", 6).alias("score"))
+
+
+def p21_display_name(spark: SparkSession, d: str) -> DataFrame:
+    """The name to show for each facility: that of the second registry where it is linked, else its own."""
+    m = table(spark, d, "stg_mfr_facilities").select("mfr_id", "facility_name", "existing_dhis2_id").distinct()
+    u = table(spark, d, "stg_dhis2_facilities").groupBy(F.col("dhis2_uid").alias("existing_dhis2_id")).agg(F.min("dhis2_name").alias("dhis2_name"))
+    return m.join(u, "existing_dhis2_id", "left").select("mfr_id", F.coalesce("dhis2_name", "facility_name", F.lit("Unknown")).alias("display_name"))
+
+
+def c14_subset_run(spark: SparkSession, d: str) -> DataFrame:
+    """The batch linkage of the hospitals of one region only."""
+    m = table(spark, d, "stg_mfr_facilities").where(F.col("facility_type").isin("General Hospital", "Referral Hospital", "Primary Hospital") & (t.normalize_geo(F.col("region")) == "logida"))
+    return c09_batch_linkage(spark, d).join(m.select("record_no").distinct(), "record_no", "left_semi")
+
+
+def c13_report(spark: SparkSession, d: str) -> DataFrame:
+    """The report of a run as lines of (section, item, value): sizes, coverage, scores, bands and the unmatched by region."""
+    a, b = _sides(spark, d)
+    scored = cut(_score(a, b).select("fid_a", "fid_b", "score"), "scored")
+    hits = cut(_calibrated(spark, d, scored), "hits")
+    lines = lambda df, section, columns: df.select(F.lit(section).alias("section"), F.explode(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).cast("string").alias("value")) for c in columns])).alias("l")).select("section", "l.*")
+    cover = lines(_coverage(hits, a, b), "coverage", ["total", "mfr_matched", "dhis2_matched", "mfr_coverage", "dhis2_coverage"])
+    stats = scoring.score_stats(scored)
+    scores = lines(stats.select("n", *[F.round(c, 4).alias(c) for c in ("mean", "median", "min", "max")]), "scores", ["n", "mean", "median", "min", "max"])
+    bands = hits.groupBy(t.confidence_band(F.col("score")).alias("item")).agg(F.count("*").cast("string").alias("value")).select(F.lit("bands").alias("section"), "item", "value")
+    lost = registry.unmatched(a.select(F.col("fid").alias("fid_a"), "region").distinct(), hits, "fid_a").where("region is not null")
+    lost = lost.groupBy(F.col("region").alias("item")).agg(F.count("*").cast("string").alias("value")).select(F.lit("unmatched").alias("section"), "item", "value")
+    return cover.unionByName(scores).unionByName(bands).unionByName(lost)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         j02_label_join, j03_c05_canonical, j04_compound_block, j05_phonetic_block, j06_sorted_neighbourhood, j07_neighbourhood_anywhere, j08_candidates_union, j10_topk_candidates,
         j11_j12_c02_split, j12_anti, j13_verified, j16_left_preserving, j17_a17_reduction, j20_candidate_json, g01_a11_features, g04_bigram_cosine, g06_a09_scored_pairs, g07_j09_embedding_top1,
         g08_c10_judged, a03_score_stats, a12_confusion, a13_threshold_sweep, a14_best_threshold, p13_matches, c01_pipeline, c03_combined, c04_unmapped_regions, c06_unmatched, c06_unmatched_sides,
-        c08_subset_link, c09_batch_linkage, p08_no_region, p18_raw_region, snk05_calibration_json,
+        c08_subset_link, c09_batch_linkage, p08_no_region, p18_raw_region, snk05_calibration_json, w06_scored_blocks, p21_display_name, c13_report, c14_subset_run,
     )
 }
 
@@ -410,3 +443,12 @@ ORACLE["c09_batch_linkage"] = rf"""WITH m AS MATERIALIZED (SELECT DISTINCT recor
   o AS (SELECT m.record_no, mfr_id, uid, score, CASE WHEN score >= 0.9 THEN 'high' WHEN score >= 0.8 THEN 'medium' WHEN score >= 0.7 THEN 'low' ELSE 'none' END AS confidence FROM m LEFT JOIN best ON best.record_no = m.record_no)
   SELECT record_no, mfr_id, CASE WHEN confidence <> 'none' THEN uid END AS dhis2_uid, confidence, CASE WHEN score IS NULL THEN 'No candidate in the same region'
     WHEN confidence = 'none' THEN 'Best score ' || printf('%.3f', score) || ' is below the lowest band' ELSE 'Name similarity ' || printf('%.3f', score) || ' in the same region' END AS reason FROM o"""
+_C09 = ORACLE["c09_batch_linkage"]
+ORACLE["c14_subset_run"] = f"""SELECT * FROM ({_C09}) WHERE record_no IN (SELECT record_no FROM stg_mfr_facilities
+  WHERE facility_type IN ('General Hospital', 'Referral Hospital', 'Primary Hospital') AND {tq.sql_geo('region')} = 'logida')"""
+ORACLE["p21_display_name"] = """SELECT m.mfr_id, coalesce(dhis2_name, facility_name, 'Unknown') AS display_name FROM (SELECT DISTINCT mfr_id, facility_name, existing_dhis2_id FROM stg_mfr_facilities) m
+  LEFT JOIN (SELECT dhis2_uid, min(dhis2_name) AS dhis2_name FROM stg_dhis2_facilities GROUP BY 1) u ON u.dhis2_uid = m.existing_dhis2_id"""
+ORACLE["w06_scored_blocks"] = f"""WITH {_BASE}, {_RANKS}, np AS (SELECT DISTINCT a.region, a.name AS na, b.name AS nb FROM a JOIN b ON a.region = b.region AND a.phonetic = b.phonetic AND a.name <> '' AND b.name <> ''
+    UNION SELECT a.region, a.name, b.name FROM a JOIN ranks x ON a.name = x.name JOIN ranks y ON y.r BETWEEN x.r - 1 AND x.r + 1 JOIN b ON b.name = y.name AND b.region = a.region),
+  g AS (SELECT *, list_distinct(list_transform(range(1, length(na)), lambda i: substr(na, i::BIGINT, 2))) AS ga, list_distinct(list_transform(range(1, length(nb)), lambda i: substr(nb, i::BIGINT, 2))) AS gb FROM np)
+  SELECT region, na AS name_a, nb AS name_b, round(CASE WHEN len(ga) + len(gb) > 0 THEN 2.0 * len(list_intersect(ga, gb)) / (len(ga) + len(gb)) ELSE (na = nb)::INT END, 6)::DOUBLE AS score FROM g"""

@@ -70,4 +70,32 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return near.near_pairs(pts, 100.0).select(F.col("id_a").alias("facility_id_a"), F.col("id_b").alias("facility_id_b"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_report, p4_found, p4_profile, p4_coverage, p7_found)}
+SECTORS, HOLE = 12, 0.2
+
+
+def _outlines(pts: DataFrame) -> DataFrame:
+    """(region_id, ring, holes): around the middle of each zone's positions a concave outline, in each of twelve directions
+    nine tenths as far as its farthest position there, with a hole in the middle."""
+    mid = pts.groupBy("zone").agg(F.avg("lon").alias("clon"), F.avg("lat").alias("clat"))
+    p = pts.join(mid, "zone").withColumns({"dx": F.col("lon") - F.col("clon"), "dy": F.col("lat") - F.col("clat")})
+    p = p.withColumn("sector", F.pmod(F.floor(F.degrees(F.atan2("dy", "dx")) * SECTORS / 360), F.lit(SECTORS)).cast("int"))
+    far = p.groupBy("zone", "clon", "clat", "sector").agg(F.max(F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))).alias("r"))
+    # no more than one entry for each direction
+    shape = far.groupBy("zone", "clon", "clat").agg(F.map_from_entries(F.collect_list(F.struct("sector", "r"))).alias("far"), F.when(F.count("*") == SECTORS, F.min("r")).otherwise(0.0).alias("least"))
+    out = lambda s: F.greatest(F.coalesce(F.try_element_at("far", s), F.lit(0.0)) * 0.9, F.lit(0.001))
+    corner = lambda r, turn: F.array(F.col("clon") + r * F.cos(turn), F.col("clat") + r * F.sin(turn))
+    ring = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SECTORS - 1)), lambda s: corner(out(s), F.radians((s + 0.5) * (360 / SECTORS)))))
+    inner = F.greatest(F.col("least") * 0.9, F.lit(0.001)) * HOLE
+    hole = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda s: corner(inner, F.radians(s * 90.0))))
+    return shape.select(F.col("zone").alias("region_id"), ring.alias("ring"), F.array(hole).alias("holes"))
+
+
+def p7_regions(spark: SparkSession, d: str) -> DataFrame:
+    """How many surveyed facilities lie in the outline of each zone's facilities."""
+    s = table(spark, d, "mfr_sample").where("latitude between 3 and 15 and longitude between 33 and 48")
+    pts = s.select(strip(F.col("facility_id")).alias("point_id"), F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), strip(F.col("zone")).alias("zone")).distinct()
+    inside = near.containing_regions(pts, _outlines(pts.where("zone <> ''")))
+    return inside.groupBy(F.col("region_id").alias("zone")).agg(F.count("*").alias("facilities"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_report, p4_found, p4_profile, p4_coverage, p7_found, p7_regions)}

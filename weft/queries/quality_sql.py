@@ -58,3 +58,17 @@ ORACLE = {
       SELECT DISTINCT a AS facility_id_a, b AS facility_id_b FROM near
       WHERE 2 * 6371008.8 * asin(sqrt(pow(sin(radians(lb - la) / 2), 2) + cos(radians(la)) * cos(radians(lb)) * pow(sin(radians(ob - oa) / 2), 2))) <= 100""",
 }
+
+ORACLE["p7_regions"] = f"""WITH pts AS MATERIALIZED (SELECT DISTINCT {strip('facility_id')} AS id, longitude AS lon, latitude AS lat, {strip('zone')} AS zone FROM mfr_sample
+    WHERE latitude BETWEEN 3 AND 15 AND longitude BETWEEN 33 AND 48),
+  mid AS (SELECT zone, avg(lon) AS cx, avg(lat) AS cy FROM pts WHERE zone <> '' GROUP BY 1),
+  far AS (SELECT zone, cx, cy, ((floor(degrees(atan2(lat - cy, lon - cx)) * 12 / 360)::INT % 12) + 12) % 12 AS s, max(sqrt((lon - cx) * (lon - cx) + (lat - cy) * (lat - cy))) AS r FROM pts JOIN mid USING (zone) GROUP BY ALL),
+  least AS (SELECT zone, cx, cy, greatest(CASE WHEN count(*) = 12 THEN min(r) ELSE 0 END * 0.9, 0.001) * 0.2 AS inner_r FROM far GROUP BY ALL),
+  corners AS (SELECT zone, k AS s, cx + greatest(coalesce(r, 0) * 0.9, 0.001) * cos(radians((k + 0.5) * 30)) AS x, cy + greatest(coalesce(r, 0) * 0.9, 0.001) * sin(radians((k + 0.5) * 30)) AS y
+    FROM (SELECT zone, cx, cy, unnest(range(12)) AS k FROM least) LEFT JOIN (SELECT zone, s AS k, r FROM far) USING (zone, k)),
+  inner_corners AS (SELECT zone, 100 + k AS s, cx + inner_r * cos(radians(k * 90.0)) AS x, cy + inner_r * sin(radians(k * 90.0)) AS y FROM (SELECT *, unnest(range(4)) AS k FROM least)),
+  sides AS MATERIALIZED (SELECT p.zone, p.x AS x1, p.y AS y1, q.x AS x2, q.y AS y2 FROM corners p JOIN corners q ON p.zone = q.zone AND q.s = (p.s + 1) % 12
+    UNION ALL SELECT p.zone, p.x, p.y, q.x, q.y FROM inner_corners p JOIN inner_corners q ON p.zone = q.zone AND q.s = 100 + (p.s - 99) % 4),
+  places AS MATERIALIZED (SELECT DISTINCT id, lon, lat FROM pts),
+  hits AS (SELECT zone, id, lon, lat FROM places JOIN sides ON (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 GROUP BY ALL HAVING count(*) % 2 = 1)
+  SELECT zone, count(*) AS facilities FROM hits GROUP BY 1"""

@@ -35,6 +35,13 @@ def f10_region(spark: SparkSession, d: str) -> DataFrame:
     return _regions(spark, d).select("src", "record_no", t.normalize_region(F.col("v")).alias("out"))
 
 
+def f11_region_map(spark: SparkSession, d: str) -> DataFrame:
+    """The distinct regions of both registries under the fixed table of the regions' spellings, null for those it lacks."""
+    m, u = table(spark, d, "stg_mfr_facilities").select("region"), table(spark, d, "stg_dhis2_facilities").select(F.col("regional").alias("region"))
+    every = m.unionByName(u).unionByName(spark.createDataFrame([(k,) for k in t.REGION_MAP], "region string")).where("region is not null").distinct()
+    return every.select("region", t.canonical_region(F.col("region")).alias("mapped"))
+
+
 def f11_canonical_region(spark: SparkSession, d: str) -> DataFrame:
     known = {f"{r}{e}": k for r, k in (("Tase Fisharu", "tase fisharu"), ("Kechipa", "kechipa"), ("Logida", "logida"), ("Semene", "semene")) for e in (" Region", " Regional Health Bureau")}
     return _regions(spark, d).select("src", "record_no", t.lookup(F.col("v"), known).alias("mapped"), t.lookup_or_self(F.col("v"), known).alias("or_self"))
@@ -83,7 +90,7 @@ QUERIES = {
     "f06_prefix_key": _of(t.prefix_key),
     "f09_clean_name": _of(t.clean_facility_name),
     "f16_drop_letter": _of(t.drop_last_letter_of_first_word),
-    **{f.__name__: f for f in (f05_metaphone, f07_preprocess, f08_geo, f10_region, f11_canonical_region, f12_pair_text, f13_reason_text, f15_padded_id, f20_run_stamp, proj_p15_blank_to_null)},
+    **{f.__name__: f for f in (f05_metaphone, f07_preprocess, f08_geo, f10_region, f11_region_map, f11_canonical_region, f12_pair_text, f13_reason_text, f15_padded_id, f20_run_stamp, proj_p15_blank_to_null)},
 }
 
 # -- the same in SQL --------------------------------------------------------------------------------------------------
@@ -196,3 +203,6 @@ ORACLE = {
       SELECT record_no, x AS facility_amharic_xlat, e AS facility_expanded, n AS facility_normalized, {sql_phonetic('n')} AS facility_phonetic,
         {sql_normalize('region')} AS region_normalized, {sql_normalize('zone')} AS zone_normalized, {sql_normalize('woreda')} AS woreda_normalized FROM c""",
 }
+_MAP = ", ".join(f"({q(a)}, {q(b)})" for a, b in t.REGION_MAP.items())
+ORACLE["f11_region_map"] = f"""WITH map(region, mapped) AS (VALUES {_MAP})
+  SELECT region, mapped FROM (SELECT region FROM stg_mfr_facilities UNION SELECT regional FROM stg_dhis2_facilities UNION SELECT region FROM map) LEFT JOIN map USING (region) WHERE region IS NOT NULL"""

@@ -146,7 +146,7 @@ def g08_verdicts(spark: SparkSession, d: str) -> DataFrame:
     return v.select("link_no", F.when(~F.lower(F.trim("v.match_dhis2_uid")).isin("null", "none", ""), F.col("v.match_dhis2_uid")).alias("uid"), "v.confidence")
 
 
-def w06_streamed_windows(spark: SparkSession, d: str) -> DataFrame:
+def c07_streamed_windows(spark: SparkSession, d: str) -> DataFrame:
     """Events counted by hour and type, as the stream's windows are."""
     ts = F.col("ts").cast("timestamp")
     return table(spark, d, "events").groupBy(F.window(ts, "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
@@ -162,7 +162,7 @@ QUERIES = {
         for f in (
             p01_staging_rename, p02_rename_known, p05_p06_resolved_columns, p10_any_known, p11_p12_filters, p22_p23_fill_and_complete, p25_p26_bands, a01_a02_a15_counts, a03_stats,
             a06_top_groups, a07_group_sizes, a08_value_counts, a16_coverage, a18_describe, w04_first_row, w05_latest, snk11_upsert, t01_nlargest, t02_nsmallest, t04_p24_preview,
-            u01_union_missing, u02_u03_unions, src07_ping, f19_json, g08_verdicts, w06_streamed_windows,
+            u01_union_missing, u02_u03_unions, src07_ping, f19_json, g08_verdicts, c07_streamed_windows,
         )
     },
 }
@@ -211,5 +211,5 @@ ORACLE = {
     "src07_ping": "SELECT 1 AS ok",
     "f19_json": """SELECT event_id, (props->>'$.k')::BIGINT AS k, '{"event_type":"' || event_type || '","user_id":' || user_id || '}' AS j FROM events""",
     "g08_verdicts": "SELECT link_no, CASE WHEN lower(trim(dhis2_uid)) NOT IN ('null', 'none', '') THEN dhis2_uid END AS uid, confidence FROM facility_linkage",
-    "w06_streamed_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
+    "c07_streamed_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

@@ -42,17 +42,20 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[tuple[SparkSession, str]] = []
 
 
-def _drop_written() -> None:
-    for spark, path in _written:
+def release(spark: SparkSession | None = None) -> None:
+    """Delete what cut has written for a session (or all), once its results have been consumed."""
+    for entry in [e for e in _written if spark is None or e[0] is spark]:
+        own, path = entry
+        _written.remove(entry)
         try:
-            jvm = spark._jvm
+            jvm = own._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            p.getFileSystem(own._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # noqa: BLE001 - the session may have ended before us
             pass
 
 
-atexit.register(_drop_written)
+atexit.register(release)
 
 
 def cut(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import os
 import re
 
@@ -91,3 +92,30 @@ def upsert(existing: DataFrame, new: DataFrame, key: str, version: str) -> DataF
 
     both = existing.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
     return latest(both, key, [version, "__new"]).drop("__new")
+
+
+def file_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, bytes, modified) of the files under a folder, sorted by path; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")).orderBy("path")
+
+
+def log_to(path: str | None = None, level: str = "INFO") -> logging.Logger:
+    """The driver's log, to its own output and, if a path is given, to a file as well; asked twice, it is set up once."""
+    log = logging.getLogger("weft")
+    log.setLevel(level)
+    have = {getattr(h, "baseFilename", "") for h in log.handlers}
+    for h in ([] if "" in have else [logging.StreamHandler()]) + ([logging.FileHandler(path)] if path and os.path.abspath(path) not in have else []):
+        h.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+        log.addHandler(h)
+    return log
+
+
+def write_jdbc(df: DataFrame, url: str, name: str, *, mode: str = "append", user: str | None = None, password_env: str | None = None) -> None:
+    """A table of another database, written by all tasks; the password comes from the environment."""
+    w = df.write.format("jdbc").option("url", url).option("dbtable", name).mode(mode)
+    if user:
+        w = w.option("user", user)
+    if password_env:
+        w = w.option("password", os.environ.get(password_env, ""))
+    w.save()

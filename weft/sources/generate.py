@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PLACES = ["Adama", "Bahir", "Chiro", "Debre", "Fiche", "Gimbi", "Hosa", "Jima", "Kombo", "Lemi", "Mizan", "Nekem", "Robe", "Sodo"]
@@ -52,3 +52,41 @@ def labels(left: DataFrame, right: DataFrame, share: float = 0.3, seed: int = 42
     other = right.groupBy("zone").agg(F.min(F.struct("facility_id", "woreda")).alias("o"))
     no = a.join(other, "zone").where(F.col("woreda") != F.col("o.woreda")).select(F.col("facility_id").alias("mfr_id"), F.col("o.facility_id").alias("dhis2_id"), F.lit(0).alias("label"))
     return yes.unionByName(no)
+
+
+VARIANTS = {
+    "left": {"North": "North Region", "South": "South Region", "East": "East Region", "West": "West Region"},
+    "right": {"North": "North Regional Health Bureau", "South": "South Regional Health Bureau", "East": "East RHB", "West": "W. Region"},
+    "third": {"North": "NORTH", "South": "south", "East": "East", "West": "West "},
+}
+
+
+def _spelt(c: Column, side: str) -> Column:
+    return F.create_map(*[F.lit(x) for kv in VARIANTS[side].items() for x in kv])[c]
+
+
+def three_registries(spark: SparkSession, n: int = 500, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(left, right, third): three registries of the same facilities, each with ids and spellings of the regions of its own;
+    the third holds the health posts of the right one and names its ids there (`dhis2_id`)."""
+    left = left_registry(spark, n, seed)
+    right = right_registry(left, seed=seed)
+    post = F.col("facility_type").isin("HP", "Health Post")
+    third = right.where(post).select(
+        F.replace("facility_id", F.lit("DHIS2_"), F.lit("ECHIS_")).alias("facility_id"), F.concat(F.col("facility_name"), F.lit(" (community)")).alias("facility_name"), _spelt(F.col("region"), "third").alias("region"),
+        "woreda", "zone", F.col("facility_id").alias("dhis2_id"),
+    )
+    return left.withColumn("region", _spelt(F.col("region"), "left")), right.withColumn("region", _spelt(F.col("region"), "right")), third
+
+
+def positional_labels(left: DataFrame, right: DataFrame, a_id: str, b_id: str, sample: int = 150, seed: int = 42) -> DataFrame:
+    """Pairs by position in the order of ids: the first half of the sample (or of the shorter registry) row by row as 1, the
+    rest of the sample a right row picked by hash as 0."""
+    spark = left.sparkSession
+    numbered = lambda df, i, c: df.select(F.col(i).alias(c)).orderBy(c).limit(sample).withColumn("n", F.row_number().over(Window.orderBy(c)))  # noqa: E731 - no more rows than the sample
+    a, b = numbered(left, a_id, "mfr_id"), numbered(right, b_id, "dhis2_id")
+    held = F.least(F.lit(sample // 2), a.select(F.floor(F.count("*") / 2)).scalar(), b.select(F.floor(F.count("*") / 2)).scalar())
+    yes = a.join(b, "n").where(F.col("n") <= held).select("mfr_id", "dhis2_id", F.lit(1).alias("label"))
+    size = b.select(F.count("*")).scalar()
+    draw = spark.range(1, sample - sample // 2 + 1).select((F.pmod(F.xxhash64("id", F.lit(seed)), F.greatest(size, F.lit(1))) + 1).alias("n"), F.col("id"))
+    other = a.where(F.col("n") > held).withColumn("id", (F.col("n") - held).cast("bigint")).drop("n").join(draw, "id").join(b, "n")
+    return yes.unionByName(other.select("mfr_id", "dhis2_id", F.lit(0).alias("label")))
