@@ -34,9 +34,10 @@ def _components(pairs):
     return {(least[root(x)], x) for x in up}
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_groups_against_union_find(spark, seed):
-    rnd = random.Random(seed)
+@pytest.mark.parametrize("one_task", [0, 1 << 9])
+def test_groups_against_union_find(spark, monkeypatch, one_task):
+    monkeypatch.setattr(groups, "ONE_TASK", one_task)
+    rnd = random.Random(one_task)
     chain = [(f"c{i:02}", f"c{i + 1:02}") for i in range(40)]
     star = [("hub", f"s{i:02}") for i in range(40)]
     loose = [(f"m{rnd.randint(0, 60)}", f"u{rnd.randint(0, 60)}") for _ in range(45)]

@@ -118,6 +118,17 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 _PARSED = "side int, key string, core string, extra string, number int, kind int, type_kind int, region int, zone int, place string"
 
 
+def _placed(rows: DataFrame, levels: dict[str, DataFrame], parents: DataFrame) -> DataFrame:
+    """Rows with the ids of their region and zone in place of what was typed, which is looked up once for each way to type it."""
+    ways = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(level).alias("value")) for level in levels]))
+    typed = cut(rows.select(ways.alias("w")).select("w.*").where("value is not null").distinct(), "name-places")
+    for level, entries in levels.items():
+        found = canonical.map_values(typed.where(F.col("level") == level).select("value"), "value", entries, out="geo_id")
+        rows = rows.join(found.where("geo_id > 0").select(F.col("value").alias(level), F.col("geo_id").alias(f"{level}_id")), level, "left")
+    rows = rows.join(parents, "zone_id", "left")
+    return rows.select("side", "key", "name", "type", "place", F.coalesce("region_id", "parent_id", F.lit(0)).alias("region"), F.coalesce("zone_id", F.lit(0)).alias("zone"))
+
+
 def _name_rows(spark: SparkSession, d: str) -> DataFrame:
     """Both registries' rows with their names taken apart and their places looked up."""
     m = table(spark, d, "stg_mfr_facilities").select(
@@ -126,22 +137,23 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
     u = table(spark, d, "stg_dhis2_facilities").select(
         F.lit(1).alias("side"), strip(F.col("dhis2_uid")).alias("key"), F.col("dhis2_name").alias("name"), F.col("facilitytype").alias("type"), F.col("regional").alias("region"), F.col("zonal").alias("zone"), F.col("wereda").alias("place")
     )
-    every = m.unionByName(u)
-    rows = every.where("key <> ''")
+    rows = m.unionByName(u).where("key <> ''")
     geo = table(spark, d, "geo_reference")
-    # places are looked up once for each way they are typed, in one pass over the rows
-    ways = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.col(level).alias("value")) for level in ("region", "zone")]))
-    typed = cut(every.select(ways.alias("w")).select("w.*").where("value is not null").distinct(), "name-places")
-    for level in ("region", "zone"):
-        entries = canonical.entries_of(geo.where(F.col("geo_level") == level), "geo_id", "geo_name", "short_name")
-        found = canonical.map_values(typed.where(F.col("level") == level).select("value"), "value", entries, out="geo_id")
-        found = cut(found.where("geo_id > 0").select(F.col("value").alias(level), F.col("geo_id").alias(f"{level}_id")), f"name-{level}s")
-        rows = rows.join(found, level, "left")
+    levels = {level: canonical.entries_of(geo.where(F.col("geo_level") == level), "geo_id", "geo_name", "short_name") for level in ("region", "zone")}
     parents = geo.where("geo_level = 'zone'").select(F.col("geo_id").alias("zone_id"), F.col("parent_geo_id").alias("parent_id"))
-    rows = rows.join(F.broadcast(parents), "zone_id", "left")  # a fixed list of zones
-    rows = rows.select("side", "key", "name", "type", "place", F.coalesce("region_id", "parent_id", F.lit(0)).alias("region"), F.coalesce("zone_id", F.lit(0)).alias("zone"))
+    held = None
+    if sum(canonical.dictionary_strings(e) for e in levels.values()) <= canonical.BROADCAST_STRINGS:
+        # dictionaries of a counted size, looked up beside the names; a longer list is joined by the ways places are typed
+        regions, zones = (canonical.Dictionary([(r["id"], r["name"], r["short"], r["freq"]) for r in levels[level].toLocalIterator()]) for level in ("region", "zone"))
+        held = spark.sparkContext.broadcast((regions, zones, {r["zone_id"]: r["parent_id"] for r in parents.toLocalIterator()}))
+    else:
+        rows = _placed(rows, levels, parents)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if held:
+            regions, zones, up = held.value
+            # each way to type a place is looked up once in a task
+            find = [lru_cache(1 << 16)(x.look_up) for x in (regions, zones)]
         number_of = {k: n for n, k in enumerate(nameparse.KINDS)}
         kinds = lru_cache(1 << 16)(lambda t: number_of.get(nameparse.kind_of(t)))
         places, named_place = lru_cache(1 << 16)(nameparse.place), lru_cache(1 << 16)(lambda t: nameparse.parse(t)[0])
@@ -167,6 +179,10 @@ def _name_rows(spark: SparkSession, d: str) -> DataFrame:
                     at[k] = None
                 out.append((core or None, extra, number, number_of.get(kind), at[k]))
             cols = list(zip(*out)) if out else [[]] * 5
+            if held:
+                zone = [find[1](z) if z else 0 for z in pdf["zone"]]
+                region = [r and find[0](r) or up.get(z, 0) for r, z in zip(pdf["region"], zone)]
+                pdf = pdf.assign(region=pd.array(region, "int32"), zone=pd.array(zone, "int32"))
             types = [kinds(t) for t in pdf["type"]]
             yield pd.DataFrame(
                 {"side": pdf["side"], "key": pdf["key"], "core": cols[0], "extra": cols[1], "number": cols[2], "kind": pd.array(cols[3], "Int32"), "type_kind": pd.array(types, "Int32"), "region": pdf["region"], "zone": pdf["zone"], "place": cols[4]}
@@ -188,11 +204,8 @@ def _name_groups(spark: SparkSession, d: str) -> DataFrame:
         F.array_union(F.collect_set("core"), F.collect_set("extra")).alias("cores"),
     )
     keys = cut(keys, "name-keys")
-    # a district lies in one zone: where the keys that name both agree, the zone of the others is known by the district
-    zones = keys.where("zone > 0 and place is not null").groupBy("region", "place").agg(F.min("zone").alias("lo"), F.max("zone").alias("hi")).where("lo = hi").select("region", "place", F.col("lo").alias("meant"))
-    keys = keys.join(cut(zones, "districts"), ["region", "place"], "left").withColumn("zone", F.when(F.col("zone") > 0, F.col("zone")).otherwise(F.coalesce("meant", F.lit(0)))).drop("meant")
     regions = [r["geo_id"] for r in table(spark, d, "geo_reference").where("geo_level = 'region'").toLocalIterator()]
-    return names.link_names(keys, ["region", "number", "kind"], tried={"region": regions, "kind": list(range(len(nameparse.KINDS)))})
+    return names.link_names(keys, ["region", "number", "kind"], district_of=["region"], tried={"region": regions, "kind": list(range(len(nameparse.KINDS)))})
 
 
 def p1_links(spark: SparkSession, d: str) -> DataFrame:
