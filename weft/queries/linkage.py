@@ -256,7 +256,12 @@ def c06_unmatched_sides(spark: SparkSession, d: str) -> DataFrame:
 
 def c09_batch_linkage(spark: SparkSession, d: str) -> DataFrame:
     """For each unlinked row the nearest of all names under the same cleaned place, with band and reason; no row is dropped."""
-    m = table(spark, d, "stg_mfr_facilities").where(t.blank_to_null(F.col("existing_dhis2_id")).isNull()).distinct()
+    return _batch_linkage(spark, d, table(spark, d, "stg_mfr_facilities"))
+
+
+def _batch_linkage(spark: SparkSession, d: str, m: DataFrame) -> DataFrame:
+    """The batch linkage of these rows of the first registry."""
+    m = m.where(t.blank_to_null(F.col("existing_dhis2_id")).isNull()).distinct()
     u = table(spark, d, "stg_dhis2_facilities").distinct()
     clean = lambda c: scripts.romanise(t.clean_facility_name(F.col(c)))
     a = m.select("record_no", "mfr_id", t.normalize_geo(F.col("region")).alias("region_norm"), clean("facility_name").alias("name_a"))
@@ -312,9 +317,10 @@ def p21_display_name(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c14_subset_run(spark: SparkSession, d: str) -> DataFrame:
-    """The batch linkage of the hospitals of one region only."""
-    m = table(spark, d, "stg_mfr_facilities").where(F.col("facility_type").isin("General Hospital", "Referral Hospital", "Primary Hospital") & (t.normalize_geo(F.col("region")) == "logida"))
-    return c09_batch_linkage(spark, d).join(m.select("record_no").distinct(), "record_no", "left_semi")
+    """The batch linkage of the hospitals of one region only; only their names are searched for."""
+    m = table(spark, d, "stg_mfr_facilities")
+    own = m.where(F.col("facility_type").isin("General Hospital", "Referral Hospital", "Primary Hospital") & (t.normalize_geo(F.col("region")) == "logida"))
+    return _batch_linkage(spark, d, m.join(own.select("record_no").distinct(), "record_no", "left_semi"))
 
 
 def c13_report(spark: SparkSession, d: str) -> DataFrame:
