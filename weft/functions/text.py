@@ -89,10 +89,11 @@ def transliterate_amharic(c: Column) -> Column:
 
 def expand_abbreviations(c: Column) -> Column:
     """Whole-word abbreviations in full, whatever their case; null becomes empty."""
-    out = _text(c)
+    own = out = _text(c)
     for a, b in ABBREVIATIONS:
         out = F.regexp_replace(out, rf"{_FLAGS}\b{re.escape(a)}\b", b)
-    return out
+    # most names have none, which one look tells
+    return F.when(own.rlike(rf"{_FLAGS}\b(?:{'|'.join(re.escape(a) for a, _ in ABBREVIATIONS)})\b"), out).otherwise(own)
 
 
 def normalize_text(c: Column) -> Column:

@@ -55,38 +55,76 @@ def union_pairs(*pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, pairs).distinct()
 
 
-def name_pairs(left: DataFrame, right: DataFrame, *, phonetic: str, region: str | None, name: str, window: int = 3) -> DataFrame:
-    """(__block, name_a, name_b): pairs of distinct names, none empty, by compound blocking where both registries have a
-    region and by phonetic blocking where not, and by the neighbourhood of the names. __block is the region, if there is one."""
-    has = region is not None and region in left.columns and region in right.columns
-    own = lambda df: df.where(F.col(name) != "").select((F.col(region) if has else F.lit("")).alias("__block"), F.col(phonetic).alias("__sound"), F.col(name).alias("__name")).distinct()
-    a, b = own(left).withColumnRenamed("__name", "name_a"), own(right).withColumnRenamed("__name", "name_b")
-    same = a.join(b, ["__block", "__sound"]).select("__block", "name_a", "name_b")
-    ids = lambda df, n: df.select("__block", n).distinct().withColumn("__id", F.struct("__block", n))
-    near = sorted_neighbourhood(ids(a, "name_a").withColumnRenamed("name_a", "__n"), ids(b, "name_b").withColumnRenamed("name_b", "__n"), "__n", "__id", "__id", window=window, block_keys=["__block"])
-    near = near.select(F.col("a_rid.__block").alias("__block"), F.col("a_rid.name_a").alias("name_a"), F.col("b_rid.name_b").alias("name_b"))
-    return same.unionByName(near).distinct()
-
-
-def expand(pairs: DataFrame, left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, region: str | None, name: str, columns: list[str] = ()) -> DataFrame:
+#: names of one block and side that meet the other side's in one task; a larger block is dealt over several
+PART = 512
+
+
+def _bearers(df: DataFrame, i: str, *, phonetic: str, region: str | None, name: str, columns: list[str], side: str) -> DataFrame:
+    """(__block, __sound, name_<side>, __rows_<side>): each distinct name with the records that bear it, none without a name."""
+    row = F.struct(F.col(i).alias(f"{side}_rid"), *[F.col(c).alias(f"{c}_{side}") for c in columns if c in df.columns and c != name])
+    keys = [(F.col(region) if region else F.lit("")).alias("__block"), F.col(phonetic).alias("__sound"), F.col(name).alias(f"name_{side}")]
+    return df.where(F.col(name) != "").groupBy(*keys).agg(F.collect_list(row).alias(f"__rows_{side}"))
+
+
+def name_pairs(left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, phonetic: str, region: str | None, name: str, window: int = 3, columns: list[str] = (), part: int = PART) -> DataFrame:
+    """(__block, name_a, name_b, __rows_a, __rows_b): pairs of distinct names, none empty, by compound blocking where both
+    registries have a region and by phonetic blocking where not, and by the neighbourhood of the names, with the records
+    that bear them. __block is the region, if there is one.
+
+    Only names are shuffled, never pairs: a pair of neighbours is left out where blocking has it, so each comes once."""
+    own_region = region if region is not None and region in left.columns and region in right.columns else None
+    a, b = (cut(_bearers(df, i, phonetic=phonetic, region=own_region, name=name, columns=list(columns), side=s), f"names-{s}") for df, i, s in ((left, a_id, "a"), (right, b_id, "b")))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = ["__block", "name_a", "name_b", "__rows_a", "__rows_b"]
+    crowded = a.groupBy("__block", "__sound").agg(F.ceil(F.count("*") / F.lit(part)).cast("int").alias("__of")).where("__of > 1")
+    of = F.coalesce("__of", F.lit(1))
+    on = ["__block", "__sound", "__part"]
+    # a fixed number of partitions: the little that is shuffled says nothing of the pairs it makes
+    x = a.join(crowded, on[:2], "left").withColumn("__part", F.pmod(F.xxhash64("name_a"), of).cast("int")).drop("__of").repartition(tasks, *on)
+    y = b.join(crowded, on[:2], "left").withColumn("__part", F.explode(F.sequence(F.lit(0), of - 1))).drop("__of").repartition(tasks, *on)
+    same = x.join(y, on).select(*out)
+    reach = (window - 1) // 2
+    ranks = global_rank(a.select(F.col("name_a").alias("__k")).unionByName(b.select(F.col("name_b").alias("__k"))), "__k")
+    ranked = lambda df, n: df.join(ranks.withColumnRenamed("__k", n), n)
+    x = ranked(a, "name_a").withColumnRenamed("__sound", "__sound_a").withColumn("rank", F.explode(F.sequence(F.col("rank") - reach, F.col("rank") + reach)))
+    y = ranked(b, "name_b").withColumnRenamed("__sound", "__sound_b")
+    near = x.join(y, ["__block", "rank"]).where(~F.coalesce(F.col("__sound_a") == F.col("__sound_b"), F.lit(False))).select(*out)
+    return same.unionByName(near)
+
+
+def expand(pairs: DataFrame) -> DataFrame:
     """Pairs of names (name_pairs, and what was added to them) as pairs of records, with both records' columns suffixed _a
-    and _b. The name itself is there as name_a and name_b."""
-    has = region is not None and region in left.columns and region in right.columns
-    side = lambda df, i, s, n: df.where(F.col(name) != "").select((F.col(region) if has else F.lit("")).alias("__block"), F.col(name).alias(n), F.col(i).alias(f"{s}_rid"), *[F.col(c).alias(f"{c}_{s}") for c in columns if c != name])
-    a, b = side(left, a_id, "a", "name_a"), side(right, b_id, "b", "name_b")
-    return pairs.join(a, ["__block", "name_a"]).join(b, ["__block", "name_b"]).drop("__block")
+    and _b. The name itself is there as name_a and name_b. No pair is shuffled."""
+    kept = [c for c in pairs.columns if c not in ("__block", "__rows_a", "__rows_b")]
+    each = pairs.select(*kept, F.explode("__rows_a").alias("__a"), "__rows_b")
+    return each.select(*kept, "__a", F.explode("__rows_b").alias("__b")).select(*kept, "__a.*", "__b.*")
 
 
 def candidates(left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, phonetic: str, region: str | None, sort_key: str, window: int = 3) -> DataFrame:
     """Candidate pairs of records whose names are candidates. Names are paired once, however many records bear them; the
     phonetic key depends on the name, and records without a name pair with none."""
-    pairs = name_pairs(left, right, phonetic=phonetic, region=region, name=sort_key, window=window)
-    return expand(pairs, left, right, a_id, b_id, region=region, name=sort_key).select("a_rid", "b_rid")
+    return expand(name_pairs(left, right, a_id, b_id, phonetic=phonetic, region=region, name=sort_key, window=window)).select("a_rid", "b_rid")
+
+
+def candidates_among(labels: DataFrame, left: DataFrame, right: DataFrame, *, a_key: str, b_key: str, phonetic: str, region: str, name: str, window: int = 3) -> DataFrame:
+    """The labels (a_key, b_key) that are candidates: both keys have records with a name in one region whose names sound alike or
+    are neighbours. Starts from the labels, so no other candidate is made."""
+    ranks = global_rank(left.select(name).unionByName(right.select(name)).where(F.col(name) != ""), name)
+    side = lambda df, key, s: df.where(F.col(name) != "").join(ranks, name).select(key, F.col(region).alias("__block"), F.col(phonetic).alias(f"__sound_{s}"), F.col("rank").alias(f"__rank_{s}")).distinct()
+    both = labels.join(side(left, a_key, "a"), a_key).join(side(right, b_key, "b"), [b_key, "__block"])
+    near = F.abs(F.col("__rank_a") - F.col("__rank_b")) <= (window - 1) // 2
+    return both.where((F.col("__sound_a") == F.col("__sound_b")) | near).select(a_key, b_key).distinct()
+
+
+def candidate_count(pairs: DataFrame) -> DataFrame:
+    """(candidate_pairs): how many pairs of records the pairs of names are."""
+    n = F.sum(F.size("__rows_a").cast("bigint") * F.size("__rows_b"))
+    return pairs.agg(F.coalesce(n, F.lit(0)).alias("candidate_pairs"))
 
 
 def reduction(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row: sizes, pairs possible and kept, and the share of pairs saved; the product is never made."""
-    a, b, p = (x.agg(F.count("*").alias(n)) for x, n in ((left, "left_rows"), (right, "right_rows"), (pairs, "candidate_pairs")))
-    one = a.crossJoin(F.broadcast(b)).crossJoin(F.broadcast(p))
+    """One row: sizes, pairs possible and kept (pairs: name_pairs), and the share of pairs saved; the product is never made."""
+    a, b = (x.agg(F.count("*").alias(n)) for x, n in ((left, "left_rows"), (right, "right_rows")))
+    one = a.crossJoin(F.broadcast(b)).crossJoin(F.broadcast(candidate_count(pairs)))
     possible = F.col("left_rows") * F.col("right_rows")
     return one.select("*", possible.alias("possible_pairs"), F.round(100 * (1 - F.col("candidate_pairs") / possible), 6).alias("reduction_pct"))

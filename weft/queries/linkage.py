@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.functions import pairs as many
 from weft.functions import scripts
 from weft.functions import similarity as sim
 from weft.functions import text as t
@@ -67,17 +68,12 @@ def j07_neighbourhood_anywhere(spark: SparkSession, d: str) -> DataFrame:
 PLACES = ["fid", "region", "woreda", "zone"]
 
 
-def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    return blocking.name_pairs(a, b, phonetic="phonetic", region="region", name="name")
-
-
-def _hydrated(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None, columns: list[str] = PLACES) -> DataFrame:
-    """Candidate pairs of names as pairs of records, with both records' columns."""
-    return blocking.expand(_pairs(a, b) if pairs is None else pairs, a, b, "rid", "rid", region="region", name="name", columns=columns)
+def _pairs(a: DataFrame, b: DataFrame, columns: list[str] = ()) -> DataFrame:
+    return blocking.name_pairs(a, b, "rid", "rid", phonetic="phonetic", region="region", name="name", columns=columns)
 
 
 def j08_candidates_union(spark: SparkSession, d: str) -> DataFrame:
-    return _hydrated(*_sides(spark, d), columns=[]).select("a_rid", "b_rid")
+    return blocking.expand(_pairs(*_sides(spark, d))).select("a_rid", "b_rid")
 
 
 def p08_no_region(spark: SparkSession, d: str) -> DataFrame:
@@ -88,28 +84,35 @@ def p08_no_region(spark: SparkSession, d: str) -> DataFrame:
 
 def j17_a17_reduction(spark: SparkSession, d: str) -> DataFrame:
     a, b = _sides(spark, d)
-    return blocking.reduction(a, b, _hydrated(a, b, columns=[]))
+    return blocking.reduction(a, b, _pairs(a, b))
+
+
+def _features(pairs: DataFrame) -> DataFrame:
+    """Names are compared as pairs of names and then spread to records."""
+    return scoring.features(blocking.expand(scoring.name_features(pairs, "name")), "name", ["region", "woreda"])
 
 
 def g01_a11_features(spark: SparkSession, d: str) -> DataFrame:
-    f = scoring.features(_hydrated(*_sides(spark, d)), "name", ["region", "woreda"])
+    f = _features(_pairs(*_sides(spark, d), ["region", "woreda"]))
     return f.select("a_rid", "b_rid", "name_exact", "name_levenshtein", "name_jaro_winkler", "region_exact", "woreda_exact")
 
 
 def g04_bigram_cosine(spark: SparkSession, d: str) -> DataFrame:
-    h = _hydrated(*_sides(spark, d))
-    f = scoring.features(h, "name", ["region", "woreda"])
-    return f.select("a_rid", "b_rid", F.round(sim.bigram_cosine(F.col("name_a"), F.col("name_b")), 6).alias("cosine"), "feature_sum", F.round("feature_mean", 6).alias("feature_mean"))
+    p = _pairs(*_sides(spark, d), ["region", "woreda"])
+    f = _features(p.withColumn("cosine", F.round(many.bigram_cosine(F.col("name_a"), F.col("name_b")), 6)))
+    return f.select("a_rid", "b_rid", "cosine", "feature_sum", F.round("feature_mean", 6).alias("feature_mean"))
 
 
-def _score(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Names are compared as pairs of names and then spread to records."""
-    pairs = _pairs(a, b).withColumn("__text", scoring.name_likeness(F.col("name_a"), F.col("name_b")))
-    return scoring.lexical_score("name")(_hydrated(a, b, cut(pairs, "name-pairs")))
+def _score(pairs: DataFrame, least: float | None = None) -> DataFrame:
+    """Names are compared as pairs of names and then spread to records. least: pairs of names that no places can lift to this
+    score are left out before that."""
+    text = None if least is None else (least - 0.2) / 0.8 - 1e-6
+    pairs = pairs.withColumn("__text", scoring.name_likeness(F.col("name_a"), F.col("name_b"), text))
+    return scoring.lexical_score("name")(blocking.expand(pairs if text is None else pairs.where(F.col("__text") >= text)))
 
 
-def _scored(spark: SparkSession, d: str) -> DataFrame:
-    return _score(*_sides(spark, d))
+def _scored(spark: SparkSession, d: str, least: float | None = None) -> DataFrame:
+    return _score(_pairs(*_sides(spark, d), PLACES), least)
 
 
 def g06_a09_scored_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -125,27 +128,34 @@ def a03_score_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def p13_matches(spark: SparkSession, d: str) -> DataFrame:
     """Matches from the threshold up, all that reach it."""
-    s = _scored(spark, d).where(F.round("score", 6) >= 0.8)
+    s = _scored(spark, d, 0.8).where(F.round("score", 6) >= 0.8)
     return s.select(F.col("fid_a").alias("mfr_id"), F.col("fid_b").alias("dhis2_id"), F.round("score", 5).alias("score"), F.lit("inferred").alias("match_type"))
 
 
-def _labelled(spark: SparkSession, d: str, scored: DataFrame | None = None) -> DataFrame:
-    """Candidate pairs labelled by the links both registries name, 1 where the reference says so."""
-    scored = _scored(spark, d) if scored is None else scored
-    m = table(spark, d, "stg_mfr_facilities").select(F.trim("mfr_id").alias("mfr_id"), F.trim("existing_dhis2_id").alias("ref")).where("ref is not null").distinct()
-    s = scored.select(F.trim("fid_a").alias("mfr_id"), F.trim("fid_b").alias("dhis2_id"), F.round("score", 6).alias("score"))
-    return s.join(m, "mfr_id").withColumn("label", (F.col("ref") == F.col("dhis2_id")).cast("int"))
+def _label_pairs(spark: SparkSession, d: str, a: DataFrame, b: DataFrame) -> DataFrame:
+    """Candidate pairs of names whose left records carry the references of their facility."""
+    m = table(spark, d, "stg_mfr_facilities").select(F.trim("mfr_id").alias("__key"), F.trim("existing_dhis2_id").alias("ref")).where("ref is not null")
+    refs = m.groupBy("__key").agg(F.collect_set("ref").alias("refs"))
+    return _pairs(a.withColumn("__key", F.trim("fid")).join(refs, "__key", "left"), b, [*PLACES, "refs"])
+
+
+def _labelled(pairs: DataFrame) -> DataFrame:
+    """Candidate pairs (_label_pairs) labelled by the links both registries name, 1 where the reference says so."""
+    has = F.exists("__rows_a", lambda r: r["refs_a"].isNotNull())
+    s = _score(pairs.where(has)).select(F.trim("fid_b").alias("dhis2_id"), F.round("score", 6).alias("score"), F.explode("refs_a").alias("ref"))
+    return s.withColumn("label", (F.col("ref") == F.col("dhis2_id")).cast("int"))
 
 
 def j02_label_join(spark: SparkSession, d: str) -> DataFrame:
     """Labels that are candidates too; the others are lost to calibration."""
     m = table(spark, d, "stg_mfr_facilities").select(F.trim("mfr_id").alias("mfr_id"), F.trim("existing_dhis2_id").alias("dhis2_id")).where("dhis2_id is not null").distinct()
-    c = _hydrated(*_sides(spark, d), columns=["fid"]).select(F.trim("fid_a").alias("mfr_id"), F.trim("fid_b").alias("dhis2_id")).distinct()
-    return c.join(m, ["mfr_id", "dhis2_id"])
+    a, b = _sides(spark, d)
+    a, b = (cut(x.select(F.trim("fid").alias(k), "region", "phonetic", "name"), "label-side") for x, k in ((a, "mfr_id"), (b, "dhis2_id")))
+    return blocking.candidates_among(m, a, b, a_key="mfr_id", b_key="dhis2_id", phonetic="phonetic", region="region", name="name").select("mfr_id", "dhis2_id")
 
 
 def a13_threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
-    s = scoring.threshold_sweep(_labelled(spark, d))
+    s = scoring.threshold_sweep(_labelled(_label_pairs(spark, d, *_sides(spark, d))))
     return s.select(*[F.round(c, 6).alias(c) for c in ("threshold", "precision", "recall", "f1")], "tp", "fp", "fn", "tn")
 
 
@@ -154,7 +164,7 @@ def a14_best_threshold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def a12_confusion(spark: SparkSession, d: str) -> DataFrame:
-    return _labelled(spark, d).agg(*scoring.confusion(None, 0.8))
+    return _labelled(_label_pairs(spark, d, *_sides(spark, d))).agg(*scoring.confusion(None, 0.8))
 
 
 def j10_topk_candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -273,8 +283,8 @@ def _batch_linkage(spark: SparkSession, d: str, m: DataFrame) -> DataFrame:
 
 def c01_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """The whole run: candidates, scores, the threshold calibrated by the labels, matches and their coverage."""
-    scored = cut(_scored(spark, d).select("fid_a", "fid_b", "score"), "scored")
-    return _coverage(_calibrated(spark, d, scored), *_sides(spark, d))
+    a, b = _sides(spark, d)
+    return _coverage(_calibrated(_label_pairs(spark, d, a, b)), a, b)
 
 
 def _coverage(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
@@ -285,17 +295,18 @@ def _coverage(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def _calibrated(spark: SparkSession, d: str, scored: DataFrame) -> DataFrame:
-    """The scored pairs from the best threshold up, which is 0.8 only where no candidate has a label."""
-    best = scoring.best_threshold(scoring.threshold_sweep(_labelled(spark, d, scored=scored)))
-    best = best.agg(F.coalesce(F.round(F.max("threshold"), 6), F.lit(0.8)).alias("least"))
-    return scored.crossJoin(F.broadcast(best)).where(F.round("score", 6) >= F.col("least"))
+def _calibrated(pairs: DataFrame) -> DataFrame:
+    """The scored pairs from the best threshold up, which is 0.8 only where no candidate has a label. No pair is kept between
+    the two looks: the labels are scored for the threshold, and all pairs again for what reaches it."""
+    best = scoring.best_threshold(scoring.threshold_sweep(_labelled(pairs))).select(F.round("threshold", 6)).first()
+    least = best[0] if best else 0.8
+    return _score(pairs, least).where(F.round("score", 6) >= least).select("fid_a", "fid_b", "score")
 
 
 def c08_subset_link(spark: SparkSession, d: str) -> DataFrame:
     """A second link for health centers only: candidates, scores and matches from the calibrated threshold up."""
     a, b = (x.where(F.col("name").like("%health center")) for x in _sides(spark, d))
-    hits = _calibrated(spark, d, cut(_score(a, b).select("fid_a", "fid_b", "score"), "scored"))
+    hits = _calibrated(_label_pairs(spark, d, a, b))
     return hits.select(F.col("fid_a").alias("mfr_id"), F.col("fid_b").alias("dhis2_id"), F.round("score", 5).alias("score"))
 
 
@@ -326,11 +337,11 @@ def c14_subset_run(spark: SparkSession, d: str) -> DataFrame:
 def c13_report(spark: SparkSession, d: str) -> DataFrame:
     """The report of a run as lines of (section, item, value): sizes, coverage, scores, bands and the unmatched by region."""
     a, b = _sides(spark, d)
-    scored = cut(_score(a, b).select("fid_a", "fid_b", "score"), "scored")
-    hits = cut(_calibrated(spark, d, scored), "hits")
+    pairs = _label_pairs(spark, d, a, b)
+    hits = cut(_calibrated(pairs), "hits")
     lines = lambda df, section, columns: df.select(F.lit(section).alias("section"), F.explode(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).cast("string").alias("value")) for c in columns])).alias("l")).select("section", "l.*")
     cover = lines(_coverage(hits, a, b), "coverage", ["total", "mfr_matched", "dhis2_matched", "mfr_coverage", "dhis2_coverage"])
-    stats = scoring.score_stats(scored)
+    stats = scoring.score_stats(_score(pairs))
     scores = lines(stats.select("n", *[F.round(c, 4).alias(c) for c in ("mean", "median", "min", "max")]), "scores", ["n", "mean", "median", "min", "max"])
     bands = hits.groupBy(t.confidence_band(F.col("score")).alias("item")).agg(F.count("*").cast("string").alias("value")).select(F.lit("bands").alias("section"), "item", "value")
     lost = registry.unmatched(a.select(F.col("fid").alias("fid_a"), "region").distinct(), hits, "fid_a").where("region is not null")
