@@ -14,13 +14,13 @@ from weft.queries import text as tq
 from weft.session import cut, table
 
 
-def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Both registries conformed to one schema: id, name, region, woreda, zone, with the derived keys."""
+def _sides(spark: SparkSession, d: str, keys=None) -> tuple[DataFrame, DataFrame]:
+    """Both registries conformed to one schema: id, name, region, woreda, zone, with the derived keys (_keys unless others are named)."""
     m = table(spark, d, "stg_mfr_facilities").select(F.col("record_no").alias("rid"), F.col("mfr_id").alias("fid"), "facility_name", "region", "woreda", "zone", "existing_dhis2_id")
     u = table(spark, d, "stg_dhis2_facilities").select(
         F.col("record_no").alias("rid"), F.col("dhis2_uid").alias("fid"), F.col("dhis2_name").alias("facility_name"), F.col("regional").alias("region"), F.col("wereda").alias("woreda"), F.col("zonal").alias("zone")
     )
-    return tuple(_keys(x) for x in (m, u))
+    return tuple((keys or _keys)(x) for x in (m, u))
 
 
 def _name(c) -> Column:
@@ -35,6 +35,10 @@ def _keys(df: DataFrame) -> DataFrame:
     return x.withColumn("phonetic", t.phonetic_key(F.col("name")))
 
 
+#: the keys of the whole name
+_whole_keys = _keys
+
+
 def p18_raw_region(spark: SparkSession, d: str) -> DataFrame:
     """The region as delivered beside the one that took its place."""
     return _sides(spark, d)[0].select("rid", "region_raw", "region")
