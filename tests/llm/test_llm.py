@@ -1,6 +1,7 @@
 """The operators for training-data pipelines against brute force, and their edge cases."""
 
 import random
+import zlib
 from collections import Counter
 from datetime import datetime
 
@@ -390,6 +391,25 @@ def test_shares_of_drawn_documents(spark):
     assert len(mixing.calibrate(sized.limit(0), target)) == 0
 
 
+def test_topics_are_fitted_on_all_documents(spark):
+    rnd = random.Random(4)
+    # more documents than a sample would hold; half of their words are those of another topic
+    texts = [" ".join(f"{w}{rnd.randint(0, 30)}" for w in rnd.choices("abcdefgh", [6 if k == i % 8 else 1 for k in range(8)], k=30)) for i in range(3000)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("doc_id", "'s' source", "'en' lang", "text").repartition(3)
+    own = np.array([r.topic for r in mixing.measured(docs).orderBy("doc_id").collect()])
+    x = np.zeros((len(texts), 512))
+    for i, t in enumerate(texts):
+        for w, k in Counter((t or "").split()).items():
+            x[i, zlib.crc32(w.encode()) % 512] += 1 + np.log(k)
+    x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
+    centres = np.array([x[own == k].sum(axis=0) for k in range(8)])
+    centres /= np.sqrt((centres * centres).sum(axis=1, keepdims=True))
+    # each document is under the topic whose mean, taken over all documents, is nearest
+    assert (own == (x @ centres.T).argmax(axis=1)).all()
+    again = np.array([r.topic for r in mixing.measured(docs.repartition(7)).orderBy("doc_id").collect()])
+    assert (own == again).all()
+
+
 # -- queries ----------------------------------------------------------------------------------------------------------
 
 

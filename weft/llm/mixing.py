@@ -27,10 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.llm.tokens import DEFAULT, encoding
+from weft.session import cut
 
 # fixed values: three-letter codes and the two-letter ones they stand for
 LANGUAGES = {"eng": "en", "amh": "am", "orm": "om", "tha": "th", "ara": "ar", "fra": "fr", "fre": "fr", "zho": "zh", "chi": "zh"}
-DIMS, SAMPLE = 512, 2000
+DIMS, ONE, BLOCK = 512, 1 << 22, 2048
 
 
 def language(c: Column) -> Column:
@@ -43,46 +44,98 @@ def language(c: Column) -> Column:
 # -- topics -----------------------------------------------------------------------------------------------------------
 
 
-def _features(text: str | None) -> np.ndarray:
-    v = np.zeros(DIMS, np.float32)
-    if text:
-        for w, k in Counter(text.lower().split()).items():
-            v[zlib.crc32(w.encode()) % DIMS] += 1 + np.log(k)
-        v /= np.sqrt((v * v).sum()) or 1.0
-    return v
+def _packed(texts: list[str | None]) -> list[bytes]:
+    """Each text's hashed words as a vector of length 1: whole numbers of value and place in one, ONE being 1."""
+    counts = [Counter(t.lower().split()) if t else {} for t in texts]
+    sizes = np.fromiter(map(len, counts), np.int64, len(counts))
+    codes = np.fromiter((zlib.crc32(w.encode()) for c in counts for w in c), np.int64, int(sizes.sum())) % DIMS
+    times = np.fromiter((k for c in counts for k in c.values()), np.float64, int(sizes.sum()))
+    x = np.bincount(np.repeat(np.arange(len(counts)) * DIMS, sizes) + codes, 1 + np.log(times), minlength=len(counts) * DIMS).reshape(-1, DIMS)
+    x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
+    x = np.rint(x * ONE).astype(np.uint32)
+    row, place = np.nonzero(x)
+    flat, ends = (x[row, place] * DIMS + place).astype("<u4"), np.searchsorted(row, np.arange(len(counts) + 1))
+    return [flat[i:j].tobytes() for i, j in zip(ends, ends[1:])]
 
 
-def fit_topics(docs: DataFrame, topics: int, *, sample: int = SAMPLE, rounds: int = 15) -> np.ndarray:
-    """Centres of spherical k-means over hashed words, fitted on the `sample` documents of the smallest hashes."""
+def _nearest(words: list[bytes], centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's nearest centre; row, place and value of all numbers. Products of whole numbers under 2 ** 53, so exact
+    in whatever order they are summed."""
+    flat = np.frombuffer(b"".join(words), "<u4").astype(np.int64)
+    row, place, value = np.repeat(np.arange(len(words)), [len(w) // 4 for w in words]), flat % DIMS, (flat // DIMS).astype(float)
+    x = np.zeros((len(words), DIMS))
+    x[row, place] = value
+    return (x @ centres.T).argmax(axis=1), row, place, value
 
-    def features(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            yield pd.DataFrame({"v": [_features(t) for t in pdf["text"]]})
 
-    rows = docs.where("text is not null and text <> ''").select("text", F.xxhash64("doc_id", F.lit(7)).alias("h")).orderBy("h", "text").limit(sample)
-    x = np.array([r["v"] for r in rows.mapInPandas(features, "v array<float>").collect()] or [np.zeros(DIMS)])
-    rng = np.random.default_rng(5)
-    centres = x[rng.choice(len(x), min(topics, len(x)), replace=False)]
+def _blocks(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in it:
+        for at in range(0, len(pdf), BLOCK):
+            yield pdf.iloc[at : at + BLOCK]
+
+
+def _unit(sums: np.ndarray) -> np.ndarray:
+    return np.rint(sums / np.maximum(np.sqrt((sums * sums).sum(axis=1, keepdims=True)), 1e-9) * ONE)
+
+
+def fit_topics(docs: DataFrame, topics: int, *, rounds: int = 15) -> np.ndarray:
+    """Centres of spherical k-means over the `words` (_packed) of all documents. It starts from the different vectors of the
+    smallest hashes; each round sums all documents by their nearest centre, and the rounds end when no centre moves."""
+    rows = docs.where("length(words) > 0").select("words", F.xxhash64("words", F.lit(7)).alias("hash"))
+
+    def smallest(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = pd.DataFrame({"words": [], "hash": []})
+        for pdf in it:
+            best = pd.concat([best, pdf]).drop_duplicates().sort_values(["hash", "words"]).head(topics)
+        yield best
+
+    first = rows.mapInPandas(smallest, rows.schema).distinct().orderBy("hash", "words").limit(topics).collect()
+    if not first:
+        return np.zeros((1, DIMS))
+    centres = np.zeros((len(first), DIMS))
+    for k, r in enumerate(first):
+        flat = np.frombuffer(r["words"], "<u4").astype(np.int64)
+        centres[k, flat % DIMS] = flat // DIMS
     for _ in range(rounds):
-        own = (x @ centres.T).argmax(axis=1)
-        centres = np.array([x[own == k].sum(axis=0) if (own == k).any() else centres[k] for k in range(len(centres))])
-        centres /= np.maximum(np.sqrt((centres * centres).sum(axis=1, keepdims=True)), 1e-9)
-    return centres.astype(np.float32)
+
+        def summed(it: Iterator[pd.DataFrame], centres: np.ndarray = centres) -> Iterator[pd.DataFrame]:
+            total = np.zeros(centres.size)
+            for pdf in _blocks(it):
+                own, row, place, value = _nearest(pdf["words"].tolist(), centres)
+                total += np.bincount(own[row] * DIMS + place, value, minlength=centres.size)
+            at = np.flatnonzero(total)
+            yield pd.DataFrame({"at": at.astype("int32"), "s": total[at].astype("int64")})
+
+        # no more rows than numbers in the centres
+        got = rows.select("words").mapInPandas(summed, "at int, s bigint").groupBy("at").agg(F.sum("s").alias("s")).collect()
+        sums = np.zeros(centres.size)
+        sums[[r["at"] for r in got]] = [r["s"] for r in got]
+        sums = sums.reshape(centres.shape)
+        last, centres = centres, np.where(sums.any(axis=1, keepdims=True), _unit(sums), centres)
+        if (last == centres).all():
+            break
+    return centres
 
 
 def measured(docs: DataFrame, topics: int = 8, *, path: str = DEFAULT) -> DataFrame:
-    """(doc_id, source, lang, topic, n_tokens): whole texts, in one pass."""
-    centres = fit_topics(docs, topics)
+    """(doc_id, source, lang, topic, n_tokens): whole texts, read once."""
     kind = dict(docs.dtypes)["doc_id"]
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoding(path)
-        for pdf in it:
-            x = np.array([_features(t) for t in pdf["text"]]).reshape(len(pdf), DIMS)
+        for pdf in _blocks(it):
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in pdf["text"]]
-            yield pdf[["doc_id", "source", "lang"]].assign(topic=(x @ centres.T).argmax(axis=1).astype("int32"), n_tokens=np.array(n, dtype="int64"))
+            yield pdf[["doc_id", "source", "lang"]].assign(n_tokens=np.array(n, dtype="int64"), words=_packed(pdf["text"].tolist()))
+
+    seen = docs.select("doc_id", "source", language(F.col("lang")).alias("lang"), "text").mapInPandas(read, f"doc_id {kind}, source string, lang string, n_tokens bigint, words binary")
+    seen = cut(seen, "words")
+    centres = fit_topics(seen, topics)
+
+    def assign(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _blocks(it):
+            yield pdf[["doc_id", "source", "lang"]].assign(topic=_nearest(pdf["words"].tolist(), centres)[0].astype("int32"), n_tokens=pdf["n_tokens"])
 
-    return docs.select("doc_id", "source", language(F.col("lang")).alias("lang"), "text").mapInPandas(run, f"doc_id {kind}, source string, lang string, topic int, n_tokens bigint")
+    return seen.mapInPandas(assign, f"doc_id {kind}, source string, lang string, topic int, n_tokens bigint")
 
 
 # -- raking -----------------------------------------------------------------------------------------------------------
