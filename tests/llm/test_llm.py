@@ -96,6 +96,19 @@ def test_bundles_follow_dependencies(spark):
     assert got[("k", "zon")] == (1, True) and got[("k", "reg")] == (2, True) and got[("ok", "reg")] == (3, True)
 
 
+def test_bundles_without_dependencies_take_the_same_way(spark):
+    # "No" and "data" each say something; together they read like a filler
+    rows = [("k", 1, 1, T(2), "No", "data", "x"), ("k", 2, 2, T(3), "Post", None, "y"), ("big", 3, 2, T(1), None, "a", None), ("big", 4, 1, T(1), "?", None, "z")]
+    df = spark.createDataFrame(rows, "k string, no bigint, r int, at timestamp, a string, b string, c string")
+    bundles = {"ab": ["a", "b"], "c": ["c"]}
+    free = survivors.survivors(df, "k", "no", bundles, rank="r", at="at")
+    law = survivors.Dependency(("ab", "a"), ("c", "c"), spark.createDataFrame([], "lhs_value string, rhs_value string"))
+    bound = survivors.survivors(df, "k", "no", bundles, rank="r", at="at", dependencies=[law])
+    rows_of = lambda x: sorted((r.key, r.bundle, r.record, tuple(map(str, r["values"])), r.consistent) for r in x.collect())
+    assert rows_of(free) == rows_of(bound)
+    assert [r[:4] for r in rows_of(free)] == [("big", "ab", 3, ("None", "a")), ("big", "c", 4, ("z", "None")), ("k", "ab", 1, ("No", "data")), ("k", "c", 1, ("x", "None"))]
+
+
 # -- canonical --------------------------------------------------------------------------------------------------------
 
 GEO = [(1, "Tase Fisharu", "TF"), (2, "South West Natopulo", "SWN"), (3, "Semene", None), (10, "North Wurano", None), (11, "South Wurano", None)]

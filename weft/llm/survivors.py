@@ -116,17 +116,6 @@ def survivors(rows: DataFrame, key: str, record: str, bundles: dict[str, list[st
         F.col(key).alias("key"), F.col(record).alias("__record"), F.col(rank).alias("__rank"), F.col(at).cast("timestamp").alias("__at"), *{f: None for b in bundles.values() for f in b}
     )
     value = lambda fs: F.array(*[F.when(says(F.col(f)), F.col(f)) for f in fs])
-    if not deps:
-        # one aggregation, combined before the shuffle: no group is gathered, however large
-        order = _order("__record")
-        speaks = lambda fs: says(F.concat_ws(" ", *[F.when(says(F.col(f)), F.col(f)) for f in fs])) if len(fs) > 1 else says(F.col(fs[0]))
-        best = base.groupBy("key").agg(
-            F.min("__record").alias("lo"), F.max("__record").alias("hi"), *[F.min(F.when(speaks(fs), F.struct(*[order.getField(x).alias(x) for x in ("rank", "age", "record")], value(fs).alias("values")))).alias(f"b{i}") for i, fs in enumerate(bundles.values())]
-        )
-        each = F.explode(F.array(*[F.struct(F.lit(b).alias("bundle"), F.col(f"b{i}").alias("best")) for i, b in enumerate(bundles)]))
-        out = best.where("lo <> hi").select("key", each.alias("e")).where("e.best is not null")
-        return out.select("key", "e.bundle", F.col("e.best.record").alias("record"), F.col("e.best.values").alias("values"), F.lit(True).alias("consistent"))
-
     long = base.select(
         "key", _order("__record").alias("o"), F.explode(F.array(*[F.struct(F.lit(b).alias("bundle"), F.concat(value(fs), *[F.array(F.lit(None).cast("string"))] * (max(map(len, bundles.values())) - len(fs))).alias("values")) for b, fs in bundles.items()])).alias("e")
     ).select("key", "o", "e.*")
@@ -140,7 +129,8 @@ def survivors(rows: DataFrame, key: str, record: str, bundles: dict[str, list[st
         cand = cand.join(t, f"l{i}", "left").drop(f"l{i}")
         implies.append(F.col(f"implies{i}"))
         has.append(F.when(F.col("bundle") == d.rhs[0], plain(F.col("values")[at_r])))
-    cand = cand.select("key", "bundle", "values", "o", F.array(*implies).alias("implies"), F.array(*has).alias("has")).join(several, "key", "left_semi")
+    strings = lambda cs, name: F.array(*cs).cast("array<string>").alias(name)
+    cand = cand.select("key", "bundle", "values", "o", strings(implies, "implies"), strings(has, "has")).join(several, "key", "left_semi")
     # candidates of a bundle that imply and hold the same are equal to every dependency: only the best of them can be
     # chosen, so a group sends no more of them to the search than a dependency has values
     cand = cand.groupBy("key", "bundle", "implies", "has").agg(F.min_by(F.struct("values", "o"), "o").alias("c")).select("key", "bundle", "c.values", "c.o", "implies", "has")
