@@ -50,3 +50,37 @@ def test_candidates_of_the_region(spark, sf):
     want = linkage.registry.row_number_top(p, ["a_rid"], [F.desc("score"), F.asc("b_rid")], 5).select("a_rid", "b_rid", "score")
     got = entry.queries()["j10_topk_candidates"](spark, sf).select("a_rid", "b_rid", "score")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+@pytest.mark.parametrize("measure", [nearest.TOKEN_SORT, nearest.LEVENSHTEIN])
+def test_names_of_every_width(measure, few, monkeypatch):
+    """Half a machine word, one, several; walked from either side, in pieces of any size; a name's end or its beginning shared."""
+    monkeypatch.setattr(nearest, "FEW", few)
+    monkeypatch.setattr(nearest, "LETTERS", 2000)
+    monkeypatch.setattr(nearest, "LATER", 16)
+    r = random.Random(5)
+    mk = lambda: "".join(r.choices("abcdeዳ", k=r.choice([1, 20, 31, 32, 33, 63, 64, 65, 128, 200]))) + r.choice(["", " health post"])
+    x, y = (sorted({mk() for _ in range(n)}) for n in (20, 60))
+    first = np.array(r.sample(range(1000), len(y)))
+
+    def units(a, b):
+        if measure is nearest.TOKEN_SORT:
+            return (4000 * sim.common_subsequence(a, b) + len(a) + len(b)) // (2 * (len(a) + len(b)))
+        n = max(len(a), len(b))
+        return (2_000_000 * (n - nearest._edits_long(a, b)) + n) // (2 * n)
+
+    want = [(p, *q) for p, a in enumerate(x) for q in sorted((-units(a, b), first[k], k) for k, b in enumerate(y))[:3]]
+    i, j, s = nearest.nearest(x, y, first, 3, measure)
+    assert [(p, -u, first[q], q) for p, q, u in zip(i.tolist(), j.tolist(), s.tolist())] == want
+
+
+@pytest.mark.parametrize("measure", [nearest.TOKEN_SORT, nearest.LEVENSHTEIN])
+def test_few_pairs_get_a_score(measure, monkeypatch):
+    """All pairs are told apart by their letters in common; only what can be among the best is scored."""
+    r = random.Random(6)
+    x, y = (sorted({"".join(r.choices("abcdefghijklmnop", k=r.randint(8, 14))) + r.choice([" clinic", " health post"]) for _ in range(n)}) for n in (300, 4000))
+    scored, ratio = [0], nearest.Measure.ratio
+    monkeypatch.setattr(nearest.Measure, "ratio", lambda self, common, na, nb: (scored.__setitem__(0, scored[0] + np.size(common)), ratio(self, common, na, nb))[1])
+    nearest.nearest(x, y, np.arange(len(y)), 5, measure)
+    assert 0 < scored[0] < 0.1 * len(x) * len(y)

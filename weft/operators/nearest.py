@@ -1,8 +1,10 @@
 """The nearest names of each name inside equal blocks, over all pairs of the block.
 
-Distinct names of a block meet in a grid of parts against parts, so a hot block is no single task. Inside a cell every
-pair gets a bound from its letters in common, and every pair whose bound reaches the k-th best score gets its exact
-score; nothing is left out by a key or a number of pairs.
+Distinct names of a block meet in a grid of parts against parts, so a hot block is no single task. Inside a cell the
+right names are walked in order as a trie: the bits that hold the longest common subsequence of a prefix with each left
+name are kept for all left names at once, and names that begin alike share them. So every pair gets its exact number of
+letters in common, and those whose number reaches the k-th best score so far get their score; nothing is left out by a
+key or a number of pairs.
 """
 
 from __future__ import annotations
@@ -15,21 +17,12 @@ from pyspark.sql import functions as F
 from weft.operators.registry import row_number_top
 from weft.session import cut
 
-PART = 4096  # names of one side in a cell of the grid
-ROWS = 128  # names compared at once against all names of the other side
-FIRST = 24  # names of the highest bounds, compared first for a score to hold the others against
-WIDTH = 64  # letters of a machine word; longer names are compared by whole numbers
-
-
-def _common_long(a: str, b: str) -> int:
-    at: dict[str, int] = {}
-    for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    full = v = (1 << len(a)) - 1
-    for c in b:
-        u = v & at.get(c, 0)
-        v = (v + u | v - u) & full
-    return len(a) - v.bit_count()
+PART = 4096  # left names in a cell of the grid
+WIDER = 16  # times as many right names in a cell: the best scores of more names leave fewer to look at
+LETTERS = 1 << 25  # bytes of masks at once
+FEW = 16  # so many times as many right names, and the left ones are walked instead
+SOON, LATER = 8, 2048  # right names between two looks at the best scores, at first and at most
+WIDTH = 64  # letters of a machine word
 
 
 def _edits_long(a: str, b: str) -> int:
@@ -42,15 +35,6 @@ def _edits_long(a: str, b: str) -> int:
     return last[-1]
 
 
-def _common(masks: np.ndarray, p: np.ndarray, na: np.ndarray, text: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Length of the longest common subsequence of each pair, one bit for each letter of the left name."""
-    v = np.full(len(p), ~np.uint64(0))
-    for j in range(int(nb.max(initial=0))):
-        u = v & masks[p, text[:, j]]
-        v = (v + u) | (v - u)
-    return np.bitwise_count(~v).astype(np.int64)
-
-
 def _edits(masks: np.ndarray, p: np.ndarray, na: np.ndarray, text: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Levenshtein distance of each pair, by differences of the columns as bits (Myers, Hyyrö)."""
     one, pv, mv = np.uint64(1), np.full(len(p), ~np.uint64(0)), np.zeros(len(p), np.uint64)
@@ -77,77 +61,202 @@ class Measure:
         times = 200 if self.by == "common" else 1
         return (2 * times * self.unit * common + of) // (2 * of)
 
-    def exact(self, masks, p, na, text, nb, x: list[str], y: list[str]) -> np.ndarray:
-        """x, y: the names of the pairs whose left name is longer than a machine word."""
-        got = (_common if self.by == "common" else _edits)(masks, p, na, text, nb)
-        wide = np.flatnonzero(na > WIDTH)
-        if len(wide):
-            f = _common_long if self.by == "common" else _edits_long
-            got[wide] = [f(x[i], y[i]) for i in wide.tolist()]
-        return self.ratio(got if self.by == "common" else np.maximum(na, nb) - got, na, nb)
+    def least(self, units: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+        """The fewest letters in common with which names of these lengths may reach so many units: by edits, those that need
+        none are in common."""
+        of = na + nb if self.by == "common" else np.maximum(na, nb)
+        times = 200 if self.by == "common" else 1
+        return np.maximum(-(of * (1 - 2 * units) // (2 * times * self.unit)), 0)
 
 
 TOKEN_SORT = Measure("common", 10)  # 0 to 100, to one decimal
 LEVENSHTEIN = Measure("edits", 1_000_000)  # 0 to 1, to six decimals
 
 
-def _codes(names: list[str], alphabet: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.array([len(x) for x in names], np.int64)
-    out = np.zeros((len(names), int(n.max(initial=1))), np.int64)
-    for i, x in enumerate(names):
-        out[i, : len(x)] = [alphabet.setdefault(c, len(alphabet) + 1) for c in x]
-    return out, n
-
-
-def _counts(code: np.ndarray, letters: int) -> np.ndarray:
-    at = np.arange(len(code))[:, None] * (letters + 1) + code
-    return np.bincount(at.ravel(), minlength=len(code) * (letters + 1)).reshape(len(code), letters + 1)[:, 1:]
+def _codes(*sides: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """Of each list the names' letters as numbers from 1 and their lengths; how many different letters there are."""
+    flat = [np.frombuffer("".join(names).encode("utf-32-le"), np.uint32) for names in sides]
+    known, code = np.unique(np.concatenate(flat), return_inverse=True)
+    out, at = [], 0
+    for names in sides:
+        n = np.fromiter(map(len, names), np.int64, len(names))
+        c = np.zeros((len(names), int(n.max(initial=1))), np.int64)
+        c[np.arange(c.shape[1]) < n[:, None]] = code[at : at + n.sum()] + 1
+        out.append((c, n))
+        at += n.sum()
+    return out, len(known)
+
+
+class _Walk:
+    """Letters in common of some left names with right names, walked in order."""
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray, letters: int, depth: int):
+        longest = int(n.max(initial=1))
+        kind, self.bits = (np.uint32, 32) if longest <= 32 else (np.uint64, 64)
+        self.words = -(-longest // self.bits)
+        self.masks = np.zeros((letters + 1, self.words, len(n)), kind)
+        for j in range(longest):
+            at = np.flatnonzero(j < n)
+            self.masks[codes[at, j], j // self.bits, at] |= kind(1 << j % self.bits)
+        state = np.full((depth + 1, self.words, len(n)), ~kind(0))
+        u, w = np.empty((2, self.words, len(n)), kind)
+        if self.words == 1:
+            state, self.masks, u, w = state[:, 0], self.masks[:, 0], u[0], w[0]
+        # rows of their own, each looked up many times
+        self.state, self.masks, self.u, self.w, self.last = list(state), list(self.masks), u, w, []
+
+    def to(self, name: list[int], out: np.ndarray) -> None:
+        """out: the bits still set after this name, which are those of the words less the letters in common."""
+        same = 0
+        for a, b in zip(self.last, name):
+            if a != b:
+                break
+            same += 1
+        state, masks, u, w, one = self.state, self.masks, self.u, self.w, self.words == 1
+        v = state[same]
+        for d in range(same, len(name)):
+            after = state[d + 1]
+            np.bitwise_and(v, masks[name[d]], u)
+            np.bitwise_xor(v, u, w)
+            np.add(v, u, after)
+            if not one:
+                carry = after[0] < v[0]
+                for k in range(1, self.words):
+                    over = after[k] < v[k]
+                    after[k] += carry
+                    carry = over | (carry & (after[k] == 0))
+            np.bitwise_or(after, w, after)
+            v = after
+        self.last = name
+        if one:
+            np.bitwise_count(v, out)
+        else:
+            out[:] = np.bitwise_count(v).sum(axis=0)
+
+
+def _states(names: list[str]) -> int:
+    """How many states it takes to walk these names."""
+    ((c, n),), _ = _codes(sorted(names))
+    same = np.logical_and.accumulate((c[1:] == c[:-1]) & (c[1:] > 0), axis=1)
+    return int(n.sum() - same.sum())
 
 
 def nearest(x: list[str], y: list[str], first: np.ndarray, k: int, measure: Measure) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, score in units): the k best y of each x, equal scores by `first`, none of which may repeat."""
     if not x or not y:
         return (np.empty(0, np.int64),) * 3
-    alphabet: dict[str, int] = {}
-    (cx, nx), (cy, ny) = _codes(x, alphabet), _codes(y, alphabet)
-    letters = len(alphabet)
-    kx, ky = _counts(cx, letters), _counts(cy, letters)
-    deep = np.minimum(kx.max(axis=0), ky.max(axis=0))
-    letter = np.repeat(np.arange(letters), deep)
-    level = np.arange(len(letter)) - np.repeat(np.cumsum(deep) - deep, deep)
-    # 1 where a name has the letter more than `level` times: dot products count letters in common
-    tx, ty = ((n[:, letter] > level).astype(np.float32) for n in (kx, ky))
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for at in range(0, len(x), ROWS):
-        c, n = cx[at : at + ROWS], nx[at : at + ROWS]
-        masks = np.zeros((len(c), letters + 1), np.uint64)
-        for j in range(min(c.shape[1], WIDTH)):
-            masks[np.arange(len(c)), c[:, j]] |= np.uint64(1 << j)
+    back = [v[::-1] for v in y]
+    if _states(back) < _states(y):
+        # names that end alike rather than begin alike; neither measure minds which way a name is read
+        x, y = [v[::-1] for v in x], back
+    ((cx, nx), (cy, ny)), letters = _codes(x, y)
+    names = [c[:n].tolist() for c, n in zip(cy, ny.tolist())]
+    # right names of no order first, so that the best scores are soon high; the others in order, so that they share states
+    order = np.random.default_rng(1).permutation(len(y))
+    order = np.concatenate([order[:LATER], np.array(sorted(order[LATER:].tolist(), key=names.__getitem__), np.int64)])
+    ends, step = [0], SOON
+    while ends[-1] < len(y):
+        ends.append(min(ends[-1] + step, len(y)))
+        step = min(2 * step, LATER)
+    # names of half a word, of one, and of each further number of words
+    words = np.where(nx <= 32, 0, -(-nx // WIDTH))
+    rows = max(1, LETTERS // (8 * (letters + 1)))
+    out = []
+    for c in np.unique(words):
+        part = np.flatnonzero(words == c)
+        if len(part) * FEW < len(y):
+            i, j, s = _few(part, cx, nx, x, cy, ny, y, first, k, measure, letters, rows)
+            out.append((i, j, s))
+            continue
+        for at in range(0, len(part), rows):
+            own = part[at : at + rows]
+            i, j, s = _best(cx[own], nx[own], [x[v] for v in own.tolist()], names, cy, ny, y, first, k, measure, letters, order, ends)
+            out.append((own[i], j, s))
+    i, j, s = (np.concatenate(z) for z in zip(*out))
+    at = np.argsort(i, kind="stable")
+    return i[at], j[at], s[at]
+
+
+def _few(part: np.ndarray, cx, nx, x, cy, ny, y, first, k: int, measure: Measure, letters: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for few left names: these are walked, and the right names are held against them all at once."""
+    got = []
+    for lo in range(0, len(y), rows):
+        b, nb, before = cy[lo : lo + rows], ny[lo : lo + rows], first[lo : lo + rows]
+        walk = _Walk(b, nb, letters, int(nx[part].max()))
+        left = np.empty(len(nb), np.uint8 if walk.bits * walk.words < 256 else np.int64)
+        for i in part.tolist():
+            walk.to(cx[i, : nx[i]].tolist(), left)
+            na = np.full(len(nb), nx[i])
+            units = measure.ratio(walk.bits * walk.words - left.astype(np.int64), na, nb)
+            if measure.by == "edits":
+                # a bound so far: the k best bounds give a score that the others must reach
+                masks = np.zeros((1, letters + 1), np.uint64)
+                for j in range(min(int(nx[i]), WIDTH)):
+                    masks[0, cx[i, j]] |= np.uint64(1 << j)
+                exact = lambda q: measure.ratio(_without_edits(masks, np.zeros(len(q), np.int64), q, nx[i : i + 1], b, nb, x[i : i + 1], y[lo : lo + rows]), na[q], nb[q])  # noqa: B023, E731
+                m = min(k, len(nb))
+                enough = exact(np.argpartition(-units, m - 1)[:m]).min()
+                q = np.flatnonzero(units >= enough)
+                s = exact(q)
+            else:
+                m = min(k, len(nb))
+                q = np.flatnonzero(units >= -np.partition(-units, m - 1)[m - 1])
+                s = units[q]
+            best = np.lexsort((before[q], -s))[:k]
+            got.append((np.full(len(best), i), q[best] + lo, s[best]))
+    p, q, s = (np.concatenate(z) for z in zip(*got))
+    by = np.lexsort((first[q], -s, p))
+    p, q, s = p[by], q[by], s[by]
+    kept = np.arange(len(p)) - np.searchsorted(p, p) < k
+    return p[kept], q[kept], s[kept]
+
+
+def _best(cx, nx, x, names, cy, ny, y, first, k: int, measure: Measure, letters: int, order: np.ndarray, ends: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    walk = _Walk(cx, nx, letters, int(ny.max(initial=1)))
+    of, enough = walk.bits * walk.words, np.zeros(len(nx), np.int64)
+    p, q, s = (np.empty(0, np.int64) for _ in range(3))
+    small = np.uint8 if of < 255 else np.int64
+    if measure.by == "edits":
+        masks = np.zeros((len(nx), letters + 1), np.uint64)
+        for j in range(min(cx.shape[1], WIDTH)):
+            masks[np.arange(len(nx)), cx[:, j]] |= np.uint64(1 << j)
         masks[:, 0] = 0
-        bound = measure.ratio(np.rint(tx[at : at + ROWS] @ ty.T).astype(np.int64), n[:, None], ny[None, :])
-
-        def score(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-            got = np.empty(len(p), np.int64)
-            for s in range(0, len(p), 1 << 17):
-                i, j = p[s : s + (1 << 17)], q[s : s + (1 << 17)]
-                wide = (n[i] > WIDTH).any()
-                got[s : s + (1 << 17)] = measure.exact(masks, i, n[i], cy[j], ny[j], [x[at + v] for v in i.tolist()] if wide else [], [y[v] for v in j.tolist()] if wide else [])
-            return got
-
-        m = min(max(FIRST, k), len(y))
-        q = np.argpartition(-bound, m - 1, axis=1)[:, :m]
-        p = np.repeat(np.arange(len(c)), m)
-        s = score(p, q.ravel())
-        enough = np.sort(s.reshape(len(c), m), axis=1)[:, -min(k, m)]
-        rest = bound >= enough[:, None]
-        np.put_along_axis(rest, q, False, axis=1)
-        p2, q2 = np.nonzero(rest)
-        p, q, s = np.concatenate([p, p2]), np.concatenate([q.ravel(), q2]), np.concatenate([s, score(p2, q2)])
-        order = np.lexsort((first[q], -s, p))
-        p, q, s = p[order], q[order], s[order]
-        kept = np.arange(len(p)) - np.searchsorted(p, p) < k
-        out.append((p[kept] + at, q[kept], s[kept]))
-    return tuple(np.concatenate(z) for z in zip(*out))
+    for lo, hi in zip(ends, ends[1:]):
+        chunk = np.array(sorted(order[lo:hi].tolist(), key=names.__getitem__))
+        lengths, at = np.unique(ny[chunk], return_inverse=True)
+        # more bits left than these are too few letters in common
+        most = of - measure.least(enough[None, :], nx[None, :], lengths[:, None])
+        most = (np.maximum(most, -1) + 1).astype(small)
+        found = []
+        for i in range(0, len(chunk), 64):
+            own = chunk[i : i + 64]
+            left = np.empty((len(own), len(nx)), small)
+            for r, c in enumerate(own.tolist()):
+                walk.to(names[c], left[r])
+            r, c = np.divmod(np.flatnonzero(left < most[at[i : i + 64]]), len(nx))
+            found.append((c, own[r], of - left[r, c].astype(np.int64)))
+        p2, q2, common = (np.concatenate(z) for z in zip(*found))
+        s2 = measure.ratio(common, nx[p2], ny[q2]) if measure.by == "common" else measure.ratio(_without_edits(masks, p2, q2, nx, cy, ny, x, y), nx[p2], ny[q2])
+        p, q, s = np.concatenate([p, p2]), np.concatenate([q, q2]), np.concatenate([s, s2])
+        by = np.lexsort((first[q], -s, p))
+        p, q, s = p[by], q[by], s[by]
+        place = np.arange(len(p)) - np.searchsorted(p, p)
+        kth = place == k - 1
+        enough[p[kth]] = s[kth]
+        p, q, s = (v[place < k] for v in (p, q, s))
+    return p, q, s
+
+
+def _without_edits(masks: np.ndarray, p: np.ndarray, q: np.ndarray, nx: np.ndarray, cy: np.ndarray, ny: np.ndarray, x: list[str], y: list[str]) -> np.ndarray:
+    """Letters of the longer name of each pair that need no edit."""
+    got = np.empty(len(p), np.int64)
+    for s in range(0, len(p), 1 << 15):
+        i, j = p[s : s + (1 << 15)], q[s : s + (1 << 15)]
+        edits = _edits(masks, i, nx[i], cy[j], ny[j])
+        for w in np.flatnonzero(nx[i] > WIDTH).tolist():
+            edits[w] = _edits_long(x[i[w]], y[j[w]])
+        got[s : s + (1 << 15)] = np.maximum(nx[i], ny[j]) - edits
+    return got
 
 
 def top_names(left: DataFrame, right: DataFrame, on: str, a_id: str, b_id: str, name_a: str, name_b: str, measure: Measure, *, k: int = 5, words_sorted: bool = False, part: int = PART) -> DataFrame:
@@ -155,8 +264,8 @@ def top_names(left: DataFrame, right: DataFrame, on: str, a_id: str, b_id: str,
     right rows' order. words_sorted: names are compared by their sorted words."""
     a = cut(left.where(F.col(on).isNotNull()).select(on, name_a).distinct(), "left-names")
     b = cut(right.where(F.col(on).isNotNull()).groupBy(on, name_b).agg(F.min(b_id).alias("__first")), "right-names")
-    parts = lambda df, c: df.groupBy(on).agg(F.ceil(F.count("*") / F.lit(part)).cast("int").alias(c))
-    grid = parts(a, "__na").join(parts(b, "__nb"), on)
+    parts = lambda df, c, most: df.groupBy(on).agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias(c))
+    grid = parts(a, "__na", part).join(parts(b, "__nb", WIDER * part), on)
     deal = lambda df, name, own, other, c, d: df.join(grid, on).withColumn(c, F.pmod(F.xxhash64(name), F.col(own)).cast("int")).withColumn(d, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
     x, y = deal(a, name_a, "__na", "__nb", "__pa", "__pb"), deal(b, name_b, "__nb", "__na", "__pb", "__pa")
     cell = [on, "__pa", "__pb"]
