@@ -75,12 +75,14 @@ def test_names_of_every_width(measure, few, monkeypatch):
     assert [(p, -u, first[q], q) for p, q, u in zip(i.tolist(), j.tolist(), s.tolist())] == want
 
 
-@pytest.mark.parametrize("measure", [nearest.TOKEN_SORT, nearest.LEVENSHTEIN])
-def test_few_pairs_get_a_score(measure, monkeypatch):
+@pytest.mark.parametrize(("measure", "k"), [(nearest.TOKEN_SORT, 5), (nearest.LEVENSHTEIN, 1)])
+def test_few_pairs_get_a_score(measure, k, monkeypatch):
     """All pairs are told apart by their letters in common; only what can be among the best is scored."""
     r = random.Random(6)
-    x, y = (sorted({"".join(r.choices("abcdefghijklmnop", k=r.randint(8, 14))) + r.choice([" clinic", " health post"]) for _ in range(n)}) for n in (300, 4000))
+    x = sorted({"".join(r.choices("abcdefghijklmnop", k=r.randint(8, 14))) + r.choice([" clinic", " health post"]) for _ in range(300)})
+    # each name is there in some spellings, among others
+    y = sorted({v[:i] + r.choice("abc") + v[i + 1 :] for v in x for i in range(5)} | {"".join(r.choices("abcdefghijklmnop", k=12)) + " clinic" for _ in range(2500)})
     scored, ratio = [0], nearest.Measure.ratio
     monkeypatch.setattr(nearest.Measure, "ratio", lambda self, common, na, nb: (scored.__setitem__(0, scored[0] + np.size(common)), ratio(self, common, na, nb))[1])
-    nearest.nearest(x, y, np.arange(len(y)), 5, measure)
+    nearest.nearest(x, y, np.arange(len(y)), k, measure)
     assert 0 < scored[0] < 0.1 * len(x) * len(y)

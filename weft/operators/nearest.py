@@ -262,8 +262,11 @@ def _without_edits(masks: np.ndarray, p: np.ndarray, q: np.ndarray, nx: np.ndarr
 def top_names(left: DataFrame, right: DataFrame, on: str, a_id: str, b_id: str, name_a: str, name_b: str, measure: Measure, *, k: int = 5, words_sorted: bool = False, part: int = PART) -> DataFrame:
     """Left rows (a_id, on, name) with the k best right rows among all of equal `on`, and the score; equal scores in the
     right rows' order. words_sorted: names are compared by their sorted words."""
-    a = cut(left.where(F.col(on).isNotNull()).select(on, name_a).distinct(), "left-names")
-    b = cut(right.where(F.col(on).isNotNull()).groupBy(on, name_b).agg(F.min(b_id).alias("__first")), "right-names")
+    left = cut(left, "left-rows")
+    a = left.where(F.col(on).isNotNull()).select(on, name_a).distinct()
+    # the k best rows have no more than k of one name
+    rows = cut(row_number_top(right.where(F.col(on).isNotNull()), [on, name_b], [F.asc(b_id)], k), "right-rows")
+    b = rows.groupBy(on, name_b).agg(F.min(b_id).alias("__first"))
     parts = lambda df, c, most: df.groupBy(on).agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias(c))
     grid = parts(a, "__na", part).join(parts(b, "__nb", WIDER * part), on)
     deal = lambda df, name, own, other, c, d: df.join(grid, on).withColumn(c, F.pmod(F.xxhash64(name), F.col(own)).cast("int")).withColumn(d, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
@@ -280,6 +283,5 @@ def top_names(left: DataFrame, right: DataFrame, on: str, a_id: str, b_id: str,
     got = x.select(*cell, name_a).groupBy(*cell).cogroup(y.select(*cell, name_b, "__first").groupBy(*cell)).applyInPandas(run, f"{on} string, {name_a} string, {name_b} string, __first {kind}, __units bigint")
     # the k best rows have no more than k names, and those come first by score and first row
     best = row_number_top(got, [on, name_a], [F.desc("__units"), F.asc("__first")], k)
-    rows = row_number_top(right, [on, name_b], [F.asc(b_id)], k)
     best = row_number_top(best.join(rows, [on, name_b]), [on, name_a], [F.desc("__units"), F.asc(b_id)], k)
     return left.join(best, [on, name_a]).withColumn("score", F.col("__units") / F.lit(float(measure.unit))).drop("__units", "__first")
