@@ -86,3 +86,19 @@ def test_few_pairs_get_a_score(measure, k, monkeypatch):
     monkeypatch.setattr(nearest.Measure, "ratio", lambda self, common, na, nb: (scored.__setitem__(0, scored[0] + np.size(common)), ratio(self, common, na, nb))[1])
     nearest.nearest(x, y, np.arange(len(y)), k, measure)
     assert 0 < scored[0] < 0.1 * len(x) * len(y)
+
+
+@pytest.mark.parametrize(("measure", "k"), [(nearest.TOKEN_SORT, 5), (nearest.LEVENSHTEIN, 1)])
+def test_few_pairs_are_counted(measure, k, monkeypatch):
+    """Most pairs are told apart by their letters in any order; the rest are counted, and nothing is lost by that."""
+    r = random.Random(7)
+    mk = lambda: "".join(r.choice("bcdfghjklmnpqrstvwz") + r.choice("aeiou") for _ in range(r.randint(4, 6))) + r.choice([" clinic", " health post", " hospital 02"])
+    x, y = sorted({mk() for _ in range(400)}), sorted({mk() for _ in range(6000)} | {"aaaa" * 15 + "b" * i for i in range(1, 9)})
+    first, counted, common = np.array(r.sample(range(10**6), len(y))), [0], nearest._Sieve.common
+    monkeypatch.setattr(nearest._Sieve, "common", lambda self, p, q: (counted.__setitem__(0, counted[0] + len(p)), common(self, p, q))[1])
+    monkeypatch.setattr(nearest, "PENDING", 1 << 12)
+    i, j, s = nearest.nearest(x, y, first, k, measure)
+    assert 0 < counted[0] < 0.15 * len(x) * len(y)
+    monkeypatch.setattr(nearest, "FEW", 10**6)  # each left name against all right names
+    for got, want in zip((i, j, s), nearest.nearest(x, y, first, k, measure)):
+        assert got.tolist() == want.tolist()

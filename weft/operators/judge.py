@@ -55,11 +55,11 @@ def judge_rows(rows: DataFrame, key: str, judge: Callable[[dict], dict] = rule_j
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = with_retries(judge, tries, wait)
         for pdf in it:
+            none = pdf["candidates"].isna() | (pdf["candidates"] == "")
+            if none.any():
+                yield pd.DataFrame({key: pdf.loc[none, key], "match_dhis2_uid": None, "confidence": "none", "reason": "No candidates in the region"})
             out = []
-            for r in pdf.to_dict("records"):
-                if not r["candidates"]:
-                    out.append((r[key], None, "none", "No candidates in the region"))
-                    continue
+            for r in pdf[~none].to_dict("records"):
                 try:
                     v = call({c: r[c] for c in columns} | {"candidates": json.loads(r["candidates"])})
                 except Exception:  # noqa: BLE001 - left for the next run
