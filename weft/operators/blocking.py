@@ -55,40 +55,63 @@ def union_pairs(*pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, pairs).distinct()
 
 
-#: names of one block and side that meet the other side's in one task; a larger block is dealt over several
+#: names of one block and side that are not dealt further
 PART = 512
+#: cells for each task that the pairs of all blocks are dealt in, by a block's share of them, and parts of one side at most:
+#: a name is shuffled so often at most, however large the blocks are
+WAVES, GRID = 4, 8
+
+
+def _dealt(a: DataFrame, b: DataFrame, on: list[str], part: int, tasks: int, grid: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the cell (__x, __y) in which names of one block meet: a name is in one part of its own side and meets
+    every part of the other. Blocks of more than their share of a task's pairs are dealt, at most WAVES * tasks of them."""
+    size = a.groupBy(*on).agg(F.count("*").alias("__n")).join(b.groupBy(*on).agg(F.count("*").alias("__m")), on)
+    size = cut(size.select(*on, F.col("__n").cast("double").alias("__n"), F.col("__m").cast("double").alias("__m")), "blocks")
+    total = size.agg(F.sum(F.col("__n") * F.col("__m")).alias("__all"))
+    share = F.ceil(F.sqrt(WAVES * tasks * F.col("__n") * F.col("__m") / F.col("__all")))
+    parts = lambda n: F.least(F.ceil(n / part), share, F.lit(grid)).cast("int")
+    crowded = size.crossJoin(F.broadcast(total)).where(share > 1).select(*on, parts(F.col("__n")).alias("__of_x"), parts(F.col("__m")).alias("__of_y")).where("__of_x > 1 or __of_y > 1")
+    of = {s: F.coalesce(f"__of_{s}", F.lit(1)) for s in "xy"}
+
+    def side(df: DataFrame, name: str, own: str, other: str) -> DataFrame:
+        df = df.join(F.broadcast(crowded), on, "left").withColumn(f"__{own}", F.pmod(F.xxhash64(name), of[own]).cast("int"))
+        return df.withColumn(f"__{other}", F.explode(F.sequence(F.lit(0), of[other] - 1))).drop("__of_x", "__of_y").repartition(tasks, *on, "__x", "__y")
+
+    # a fixed number of partitions: the little that is shuffled says nothing of the pairs it makes
+    return side(a, "name_a", "x", "y"), side(b, "name_b", "y", "x")
 
 
 def _bearers(df: DataFrame, i: str, *, phonetic: str, region: str | None, name: str, columns: list[str], side: str) -> DataFrame:
     """(__block, __sound, name_<side>, __rows_<side>): each distinct name with the records that bear it, none without a name."""
     row = F.struct(F.col(i).alias(f"{side}_rid"), *[F.col(c).alias(f"{c}_{side}") for c in columns if c in df.columns and c != name])
     keys = [(F.col(region) if region else F.lit("")).alias("__block"), F.col(phonetic).alias("__sound"), F.col(name).alias(f"name_{side}")]
-    return df.where(F.col(name) != "").groupBy(*keys).agg(F.collect_list(row).alias(f"__rows_{side}"))
+    # without columns a record is its id, however often and with whatever else it was delivered
+    gather = F.collect_list if columns else F.collect_set
+    return df.where(F.col(name) != "").groupBy(*keys).agg(gather(row).alias(f"__rows_{side}"))
 
 
-def name_pairs(left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, phonetic: str, region: str | None, name: str, window: int = 3, columns: list[str] = (), part: int = PART) -> DataFrame:
+def name_pairs(left: DataFrame, right: DataFrame, a_id: str, b_id: str, *, phonetic: str, region: str | None, name: str, window: int = 3, columns: list[str] = (), part: int = PART, grid: int = GRID) -> DataFrame:
     """(__block, name_a, name_b, __rows_a, __rows_b): pairs of distinct names, none empty, by compound blocking where both
     registries have a region and by phonetic blocking where not, and by the neighbourhood of the names, with the records
     that bear them. __block is the region, if there is one.
 
-    Only names are shuffled, never pairs: a pair of neighbours is left out where blocking has it, so each comes once."""
+    Only names are shuffled, never pairs, and as often as a grid has parts: a pair of neighbours is left out where blocking has it, so each comes once."""
     own_region = region if region is not None and region in left.columns and region in right.columns else None
     a, b = (cut(_bearers(df, i, phonetic=phonetic, region=own_region, name=name, columns=list(columns), side=s), f"names-{s}") for df, i, s in ((left, a_id, "a"), (right, b_id, "b")))
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = ["__block", "name_a", "name_b", "__rows_a", "__rows_b"]
-    crowded = a.groupBy("__block", "__sound").agg(F.ceil(F.count("*") / F.lit(part)).cast("int").alias("__of")).where("__of > 1")
-    of = F.coalesce("__of", F.lit(1))
-    on = ["__block", "__sound", "__part"]
-    # a fixed number of partitions: the little that is shuffled says nothing of the pairs it makes
-    x = a.join(crowded, on[:2], "left").withColumn("__part", F.pmod(F.xxhash64("name_a"), of).cast("int")).drop("__of").repartition(tasks, *on)
-    y = b.join(crowded, on[:2], "left").withColumn("__part", F.explode(F.sequence(F.lit(0), of - 1))).drop("__of").repartition(tasks, *on)
-    same = x.join(y, on).select(*out)
+    on = ["__block", "__sound"]
+    x, y = _dealt(a, b, on, part, tasks, grid)
+    same = x.join(y, [*on, "__x", "__y"]).select(*out)
     reach = (window - 1) // 2
     ranks = global_rank(a.select(F.col("name_a").alias("__k")).unionByName(b.select(F.col("name_b").alias("__k"))), "__k")
     ranked = lambda df, n: df.join(ranks.withColumnRenamed("__k", n), n)
-    x = ranked(a, "name_a").withColumnRenamed("__sound", "__sound_a").withColumn("rank", F.explode(F.sequence(F.col("rank") - reach, F.col("rank") + reach)))
-    y = ranked(b, "name_b").withColumnRenamed("__sound", "__sound_b")
-    near = x.join(y, ["__block", "rank"]).where(~F.coalesce(F.col("__sound_a") == F.col("__sound_b"), F.lit(False))).select(*out)
+    # neighbours meet in stretches of ranks; only names near the end of one are in two
+    stretch = lambda n: F.floor((F.col("rank") + n) / F.lit(16 * max(1, reach)))
+    x = ranked(a, "name_a").withColumn("__at", stretch(0)).withColumnsRenamed({"__sound": "__sound_a", "rank": "__rank_a"})
+    y = ranked(b, "name_b").withColumn("__at", F.explode(F.sequence(stretch(-reach), stretch(reach)))).withColumnsRenamed({"__sound": "__sound_b", "rank": "__rank_b"})
+    apart = F.abs(F.col("__rank_a") - F.col("__rank_b")) > reach
+    near = x.join(y, ["__block", "__at"]).where(~apart & ~F.coalesce(F.col("__sound_a") == F.col("__sound_b"), F.lit(False))).select(*out)
     return same.unionByName(near)
 
 

@@ -82,7 +82,7 @@ def j08_candidates_union(spark: SparkSession, d: str) -> DataFrame:
 
 def p08_no_region(spark: SparkSession, d: str) -> DataFrame:
     """The candidates of a plan without regions, where the right registry has no such column."""
-    a, b = _sides(spark, d)
+    a, b = _sides(spark, d, lambda df: df.select("rid", "region", _name("facility_name").alias("name")).withColumn("phonetic", t.phonetic_key(F.col("name"))))
     return blocking.candidates(a, b.drop("region"), "rid", "rid", phonetic="phonetic", region="region", sort_key="name")
 
 
